@@ -117,3 +117,33 @@ def fact_player_stats_sql(stg: str, dim: str) -> str:
            p.goal_contributions, p.goals_per_game,
            p._loaded_at
     FROM {stg} p LEFT JOIN {dim} t ON p.team_id = t.team_id AND p.league_id = t.league_id"""
+
+
+def upsert_sql(cols: list[str], keys: list[str], update_cols: list[str], tgt: str, bat: str,
+               load_ts: dt.datetime, seq: str = "seq") -> str:
+    """The row-by-row MERGE loop as one SQL statement: fold the batch (first/last by ``seq``),
+    FULL JOIN on the keys, and pass NULL-key rows of both sides through."""
+    ins = [c for c in cols if c not in keys and c not in update_cols and c != "_loaded_at"]
+    upd = [c for c in update_cols if c in cols]
+    nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    fold_cols = [f"arg_min_null({c}, {seq}) AS {c}" for c in ins] + [f"arg_max_null({c}, {seq}) AS {c}" for c in upd]
+    fold = f"SELECT {', '.join(keys)}, {', '.join(fold_cols)} FROM {bat} WHERE {nn} GROUP BY {', '.join(keys)}"
+    on = " AND ".join(f"t.{k} = f.{k}" for k in keys)
+    k0 = keys[0]
+    sel = []
+    for c in cols:
+        if c in keys:
+            sel.append(f"COALESCE(t.{c}, f.{c}) AS {c}")
+        elif c in ins:
+            sel.append(f"CASE WHEN t.{k0} IS NOT NULL THEN t.{c} ELSE f.{c} END AS {c}")
+        elif c in upd:
+            sel.append(f"CASE WHEN f.{k0} IS NOT NULL THEN f.{c} ELSE t.{c} END AS {c}")
+        else:
+            sel.append(f"CASE WHEN f.{k0} IS NOT NULL THEN {_ts(load_ts)} ELSE t.{c} END AS {c}")
+    plain = ", ".join(cols)
+    stamped = ", ".join(c if c != "_loaded_at" else f"{_ts(load_ts)} AS _loaded_at" for c in cols)
+    return f"""
+    SELECT {', '.join(sel)}
+    FROM (SELECT * FROM {tgt} WHERE {nn}) t FULL OUTER JOIN ({fold}) f ON {on}
+    UNION ALL SELECT {plain} FROM {tgt} WHERE NOT ({nn})
+    UNION ALL SELECT {stamped} FROM {bat} WHERE NOT ({nn})"""
