@@ -44,7 +44,12 @@ def dim_teams(stg_standings: DataFrame, stg_players: DataFrame, created_at: dt.d
 
     Not unique on (team_id, league_id) when a team is spelled two ways; the facts then fan out.
     """
-    teams = union_teams(stg_standings, stg_players)
+    return dim_from_teams(union_teams(stg_standings, stg_players), created_at, labels)
+
+
+def dim_from_teams(teams: DataFrame, created_at: dt.datetime,
+                   labels: Mapping[int, tuple[str, str]] | DataFrame = LEAGUE_LABELS) -> DataFrame:
+    """Label a set of (team_id, team_name, league_id) triples and stamp the build time."""
     return with_league_labels(teams, labels).select(
         *TEAM_COLS, "league_name", "country", F.lit(created_at).cast("timestamp_ntz").alias("_created_at"))
 

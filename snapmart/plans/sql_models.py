@@ -80,7 +80,11 @@ def union_teams_sql(*srcs: str) -> str:
 
 def dim_teams_sql(stg_s: str, stg_p: str, created_at: dt.datetime, labels: str | None = None) -> str:
     """``labels``: name of a (league_id, league_name, country) relation; None = the fixed CASE."""
-    teams = f"({union_teams_sql(stg_s, stg_p)}) u"
+    return dim_from_teams_sql(union_teams_sql(stg_s, stg_p), created_at, labels)
+
+
+def dim_from_teams_sql(teams_sql: str, created_at: dt.datetime, labels: str | None = None) -> str:
+    teams = f"({teams_sql}) u"
     if labels is None:
         return f"""
     SELECT u.team_id, u.team_name, u.league_id,
@@ -147,3 +151,21 @@ def upsert_sql(cols: list[str], keys: list[str], update_cols: list[str], tgt: st
     FROM (SELECT * FROM {tgt} WHERE {nn}) t FULL OUTER JOIN ({fold}) f ON {on}
     UNION ALL SELECT {plain} FROM {tgt} WHERE NOT ({nn})
     UNION ALL SELECT {stamped} FROM {bat} WHERE NOT ({nn})"""
+
+
+def checks_sql(model: str, src: str, checks) -> str:
+    """One SELECT per check over ``src``, UNION ALL'ed (the oracle form of ``run_checks``)."""
+    parts = []
+    for c in checks:
+        if c.kind == "not_null":
+            m = f"count_if({c.column} IS NULL)"
+        else:
+            vals = ", ".join(str(v) for v in c.values)
+            m = f"count(DISTINCT CASE WHEN {c.column} NOT IN ({vals}) THEN {c.column} END)"
+        parts.append(f"""SELECT '{model}' AS "model", '{c.column}' AS "column", '{c.kind}' AS "check",
+               CAST({m} AS BIGINT) AS failures FROM {src}""")
+    return "\n    UNION ALL ".join(parts)
+
+
+def with_passed(report_sql: str) -> str:
+    return f"SELECT *, failures = 0 AS passed FROM ({report_sql})"
