@@ -319,8 +319,9 @@ def _documents(rows: DataFrame, day: str, key: str, element, wrap) -> DataFrame:
     g = rows.groupBy(F.col(day).alias("request_date"), F.col("league_id"),
                      F.floor(F.col(key) / PAGE).cast("bigint").alias("page"))
     docs = g.agg(F.sort_array(F.collect_list(element)).alias("_els"))
+    body = wrap(F.col("_els")).withField("paging", F.struct(F.col("page").alias("current")))
     return docs.select(
-        F.to_json(wrap(F.col("_els")), _JSON_OPTS).alias("body"),
+        F.to_json(body, _JSON_OPTS).alias("body"),
         "request_date", "league_id", F.year("request_date").cast("bigint").alias("season"), "page")
 
 

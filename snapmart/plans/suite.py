@@ -30,4 +30,4 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from snapmart.plans import queries_checks, queries_landing, queries_models, queries_upsert  # noqa: F401
+    from snapmart.plans import queries_checks, queries_jobs, queries_landing, queries_models, queries_upsert  # noqa: F401,E501

@@ -4,6 +4,9 @@ A landed feed is a DataFrame of documents, one JSON response per row:
 
     body string, request_date date, league_id bigint, season bigint [, page bigint]
 
+A paginated response carries its page in ``paging.current``; rows are ordered by
+(request_date, league_id, page, position), the order a row-by-row loader applies them.
+
 The context columns are the request parameters (they are not in the payload). On storage the feed
 is text files under ``<root>/<feed>/request_date=.../league_id=.../season=...``, so the feed
 selections below are partition filters and prune whole directories.
@@ -35,7 +38,7 @@ DOC_SCHEMA = T.StructType([
     T.StructField("season", T.LongType()),
 ])
 
-RESPONSE_SCHEMA = "response array<variant>"
+RESPONSE_SCHEMA = "response array<variant>, paging struct<current: bigint>"
 FAILFAST = {"mode": "FAILFAST"}
 
 
@@ -43,10 +46,14 @@ FAILFAST = {"mode": "FAILFAST"}
 # reading and selecting landed documents
 # ------------------------------------------------------------------------------------------------
 
+def landed_text_schema() -> T.StructType:
+    """Text-source schema of a landed feed: the document line plus the partition (context) columns."""
+    return T.StructType([T.StructField("value", T.StringType())] + DOC_SCHEMA.fields[1:])
+
+
 def read_landed(spark: SparkSession, root: str, feed: str) -> DataFrame:
     """All landed documents of one feed; context columns come from the partition directories."""
-    schema = T.StructType([T.StructField("value", T.StringType())] + DOC_SCHEMA.fields[1:])
-    return (spark.read.format("text").schema(schema).load(f"{root}/{feed}")
+    return (spark.read.format("text").schema(landed_text_schema()).load(f"{root}/{feed}")
             .withColumnRenamed("value", "body"))
 
 
@@ -90,8 +97,13 @@ def _field(e: Column, path: str, typ: str, strict: bool) -> Column:
 
 
 def parse_response(docs: DataFrame) -> DataFrame:
-    """Parse each body once into ``_resp`` (the ``response`` array of variants); malformed JSON fails."""
-    return docs.withColumn("_resp", F.from_json("body", RESPONSE_SCHEMA, FAILFAST).getField("response"))
+    """Parse each body once: ``_resp`` is the ``response`` array of variants and ``_page`` the page
+    of a paginated response (a ``page`` column wins over ``paging.current``); malformed JSON fails."""
+    parsed = docs.withColumn("_doc", F.from_json("body", RESPONSE_SCHEMA, FAILFAST))
+    page = F.col("_doc.paging.current")
+    if "page" in docs.columns:
+        page = F.coalesce(F.col("page"), page)
+    return parsed.withColumn("_resp", F.col("_doc.response")).withColumn("_page", page).drop("_doc")
 
 
 def _explode(df: DataFrame, arr: Column, keep: list[str]) -> DataFrame:
@@ -103,11 +115,12 @@ def _seq(cols: list[str]) -> Column:
 
 
 def _ctx_cols(docs: DataFrame) -> list[str]:
-    return [c for c in ("request_date", "league_id", "season", "page") if c in docs.columns]
+    return [c for c in ("request_date", "league_id", "season") if c in docs.columns] + ["_page"]
 
 
 def _seq_cols(docs: DataFrame) -> list[str]:
-    return [c for c in ("request_date", "league_id", "page") if c in docs.columns] + ["_pos"]
+    """Batch order = the order a row loop meets the rows: day, league, page, position in the page."""
+    return [c for c in ("request_date", "league_id") if c in docs.columns] + ["_page", "_pos"]
 
 
 # ------------------------------------------------------------------------------------------------
