@@ -66,3 +66,8 @@ def all_not_null(*cols: str) -> Column:
     for c in cols:
         cond = cond & F.col(c).isNotNull()
     return cond
+
+
+def ntz_lit(t) -> Column:
+    """A TIMESTAMP_NTZ literal built from text, so neither the Python nor the session zone shifts it."""
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

@@ -26,11 +26,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmart.functions.clean import all_not_null
+from snapmart.functions.clean import all_not_null, ntz_lit
 from snapmart.schemas import RAW_FIXTURES, RAW_PLAYERS, RAW_STANDINGS
 from snapmart.sources.rawstore import ensure_table, read_table
 
@@ -129,7 +130,7 @@ def upsert_df(target: DataFrame, batch: DataFrame, spec: UpsertSpec, load_ts: dt
     data_cols = [c for c in cols if c != LOAD_COL]
     ins = spec.insert_only(cols)
     upd = [c for c in spec.update_cols if c in cols]
-    stamp = F.lit(load_ts).cast("timestamp_ntz")
+    stamp = ntz_lit(load_ts)
     has_key = all_not_null(*keys)
 
     t_keyed, t_nullkey = target.where(has_key), target.where(~has_key)
@@ -176,7 +177,16 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertS
     plain file system: single writer per table.
     """
     part = spec.storage_partition
-    b = with_bucket(batch, spec)
+    # The batch is read three times (touched partitions, keyed rows, NULL-key rows): keep it once.
+    # A lost executor's cached blocks are recomputed from the batch's (deterministic) lineage.
+    b = with_bucket(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _upsert_into(spark, path, b, spec, load_ts, seq, part)
+    finally:
+        b.unpersist()
+
+
+def _upsert_into(spark, path, b, spec, load_ts, seq, part) -> int:
     touched = [r[0] for r in b.select(part).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
     if not touched:
         return 0

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmart.functions.clean import ntz_lit
+
 # Fixed load stamps of the analog runs (deterministic, so results hash the same every run).
 T0 = dt.datetime(2024, 1, 1, 6, 30, 0)   # first load of the RAW tables
 T1 = dt.datetime(2024, 2, 1, 6, 30, 0)   # the upsert batch
@@ -43,7 +45,7 @@ class Tables:
 
 
 def ts_lit(t: dt.datetime):
-    return F.lit(t).cast("timestamp_ntz")
+    return ntz_lit(t)
 
 
 def sql_ts(t: dt.datetime) -> str:

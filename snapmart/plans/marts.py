@@ -16,6 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapmart.functions.clean import ntz_lit
 from snapmart.functions.keys import surrogate_key
 from snapmart.functions.labels import with_league_labels
 from snapmart.schemas import FACT_PLAYER_STATS_COLUMNS, FACT_STANDINGS_COLUMNS, LEAGUE_LABELS
@@ -51,7 +52,7 @@ def dim_from_teams(teams: DataFrame, created_at: dt.datetime,
                    labels: Mapping[int, tuple[str, str]] | DataFrame = LEAGUE_LABELS) -> DataFrame:
     """Label a set of (team_id, team_name, league_id) triples and stamp the build time."""
     return with_league_labels(teams, labels).select(
-        *TEAM_COLS, "league_name", "country", F.lit(created_at).cast("timestamp_ntz").alias("_created_at"))
+        *TEAM_COLS, "league_name", "country", ntz_lit(created_at).alias("_created_at"))
 
 
 def _dim_side(dim: DataFrame) -> DataFrame:

@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapmart.functions.clean import ntz_lit
+
 DOC_SCHEMA = T.StructType([
     T.StructField("body", T.StringType()),
     T.StructField("request_date", T.DateType()),
@@ -59,8 +61,9 @@ def read_landed(spark: SparkSession, root: str, feed: str) -> DataFrame:
 
 def land(docs: DataFrame, root: str, feed: str) -> None:
     """Write documents as text files partitioned by their request context (append)."""
-    (docs.select(F.col("body").alias("value"), "request_date", "league_id", "season")
-         .write.mode("append").partitionBy("request_date", "league_id", "season").text(f"{root}/{feed}"))
+    parts = ["request_date", "league_id", "season"]
+    (docs.select(F.col("body").alias("value"), *parts).hint("rebalance", *parts)
+         .write.mode("append").partitionBy(*parts).text(f"{root}/{feed}"))
 
 
 def select_leagues(docs: DataFrame, leagues: Iterable[int] | DataFrame) -> DataFrame:
@@ -241,4 +244,4 @@ def stamp_snapshot(rows: DataFrame, run_date: dt.date | str) -> DataFrame:
 
 def stamp_loaded_at(rows: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """_loaded_at = the batch's load time (one value per batch, passed in explicitly)."""
-    return rows.withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
+    return rows.withColumn("_loaded_at", ntz_lit(loaded_at))

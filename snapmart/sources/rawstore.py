@@ -40,8 +40,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Cluster rows by the storage partition before a partitioned write.
+
+    REBALANCE is an AQE-aware shuffle: partitions are cut to the advisory size, so a day that holds a
+    third of the rows is split over several tasks, and small days are coalesced. Each task then writes
+    few partition directories, instead of every task writing a small file into every directory.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    w = df.write.mode("append")
+    w = rebalanced(df, partition_by).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -52,7 +62,7 @@ def materialize_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()
 
     Reading back cuts the lineage: consumers scan the stored table, not the plan that built it.
     """
-    w = df.write.mode("overwrite")
+    w = rebalanced(df, partition_by).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
