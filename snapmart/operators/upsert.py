@@ -18,7 +18,8 @@ shuffled. NULL-key rows of both sides bypass the join (they would all hash to on
 unioned back.
 
 ``upsert_table`` applies this to a partitioned Parquet table and rewrites only the partitions the
-batch touches (dynamic partition overwrite); see ``UpsertSpec.partition_by``.
+batch touches (dynamic partition overwrite); see ``UpsertSpec.partition_by`` and
+``touched_partitions``.
 """
 
 from __future__ import annotations
@@ -33,10 +34,9 @@ from pyspark.sql import types as T
 
 from snapmart.functions.clean import all_not_null, ntz_lit
 from snapmart.schemas import RAW_FIXTURES, RAW_PLAYERS, RAW_STANDINGS
-from snapmart.sources.rawstore import ensure_table, read_table
+from snapmart.sources.rawstore import ensure_table, read_table, rebalanced
 
 LOAD_COL = "_loaded_at"
-BUCKET_COL = "_bucket"
 # Above this many touched partitions the target is restricted by a semi-join instead of a literal
 # IN list (the list is the only thing collected to the driver, and it stays bounded).
 MAX_LISTED_PARTITIONS = 1000
@@ -46,9 +46,9 @@ MAX_LISTED_PARTITIONS = 1000
 class UpsertSpec:
     """What a MERGE statement declares: the table, its key, and its update (SET) columns.
 
-    ``partition_by`` names the storage partition column. When it is part of the key, a batch row
-    can only match rows of its own partition. Otherwise (``buckets`` > 0) the table is stored in
-    ``buckets`` hash buckets of the key, which is what locates a batch row's possible match.
+    ``partition_by`` names the storage partition column: a key column (a batch row can only match
+    rows of its own partition) or an insert-only column (a stored row never moves, so its partition
+    is found from its key; see ``touched_partitions``).
     """
 
     name: str
@@ -56,7 +56,6 @@ class UpsertSpec:
     keys: tuple[str, ...]
     update_cols: tuple[str, ...]
     partition_by: str | None = None
-    buckets: int = 0
 
     @property
     def columns(self) -> list[str]:
@@ -65,21 +64,11 @@ class UpsertSpec:
     def insert_only(self, cols: list[str]) -> list[str]:
         return [c for c in cols if c not in self.keys and c not in self.update_cols and c != LOAD_COL]
 
-    @property
-    def storage_partition(self) -> str | None:
-        return BUCKET_COL if self.buckets else self.partition_by
-
-    @property
-    def storage_schema(self) -> T.StructType:
-        if not self.buckets:
-            return self.schema
-        return T.StructType(self.schema.fields + [T.StructField(BUCKET_COL, T.IntegerType(), True)])
-
 
 FIXTURES = UpsertSpec(
     "raw_fixtures", RAW_FIXTURES, ("fixture_id",),
     ("home_goals", "away_goals", "status", "raw_json"),
-    buckets=64)
+    partition_by="date")  # insert-only: a rescheduled fixture keeps its first date
 
 STANDINGS = UpsertSpec(
     "raw_standings", RAW_STANDINGS, ("snapshot_date", "team_id", "league_id"),
@@ -160,10 +149,21 @@ def upsert_df(target: DataFrame, batch: DataFrame, spec: UpsertSpec, load_ts: dt
 # table form
 # ------------------------------------------------------------------------------------------------
 
-def with_bucket(df: DataFrame, spec: UpsertSpec) -> DataFrame:
-    if not spec.buckets:
-        return df
-    return df.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*spec.keys), F.lit(spec.buckets)).cast("int"))
+def touched_partitions(target: DataFrame, batch: DataFrame, spec: UpsertSpec) -> DataFrame:
+    """Distinct storage-partition values the batch can touch.
+
+    When the partition column is part of the key, a batch row can only meet rows of its own
+    partition. Otherwise the partition column is insert-only, so a stored row never leaves the
+    partition it was first written to: the batch's own values (new keys) plus the partitions where
+    its keys already live, found by a semi-join against a narrow (key, partition) scan of the target.
+    """
+    part = spec.partition_by
+    own = batch.select(part)
+    if part in spec.keys:
+        return own.distinct()
+    keys = batch.select(*spec.keys).where(all_not_null(*spec.keys)).distinct()
+    located = target.select(*spec.keys, part).join(keys, list(spec.keys), "left_semi").select(part)
+    return own.unionByName(located).distinct()
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertSpec,
@@ -171,15 +171,17 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertS
     """Apply ``batch`` to the Parquet table at ``path``; returns the number of partitions rewritten.
 
     Only partitions the batch can touch are read and rewritten (dynamic partition overwrite); the
-    rest of the table is not scanned. The list of touched partition values is the only thing that
+    rest of the table is not rewritten. The list of touched partition values is the only thing that
     reaches the driver, and above MAX_LISTED_PARTITIONS it is replaced by a semi-join. An empty
     batch returns before the table is touched. Commits of several partitions are not atomic on a
     plain file system: single writer per table.
     """
-    part = spec.storage_partition
-    # The batch is read three times (touched partitions, keyed rows, NULL-key rows): keep it once.
+    part = spec.partition_by
+    if part is None or part in spec.update_cols:
+        raise ValueError("the storage partition column must be a key or an insert-only column")
+    # The batch is read several times (touched partitions, keyed rows, NULL-key rows): keep it once.
     # A lost executor's cached blocks are recomputed from the batch's (deterministic) lineage.
-    b = with_bucket(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    b = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _upsert_into(spark, path, b, spec, load_ts, seq, part)
     finally:
@@ -187,11 +189,12 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertS
 
 
 def _upsert_into(spark, path, b, spec, load_ts, seq, part) -> int:
-    touched = [r[0] for r in b.select(part).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if not touched:
+    if b.isEmpty():
         return 0
-    ensure_table(spark, path, spec.storage_schema, [part])
-    target = read_table(spark, path, spec.storage_schema)
+    ensure_table(spark, path, spec.schema, [part])
+    target = read_table(spark, path, spec.schema)
+    parts = touched_partitions(target, b, spec)
+    touched = [r[0] for r in parts.limit(MAX_LISTED_PARTITIONS + 1).collect()]
     if len(touched) <= MAX_LISTED_PARTITIONS:
         values = [v for v in touched if v is not None]
         cond = F.col(part).isin(values) if values else F.lit(False)
@@ -199,11 +202,9 @@ def _upsert_into(spark, path, b, spec, load_ts, seq, part) -> int:
             cond = cond | F.col(part).isNull()
         target = target.where(cond)
     else:
-        parts = b.select(F.col(part).alias("_p")).distinct()
-        target = target.join(parts, target[part].eqNullSafe(parts["_p"]), "left_semi")
-    cols = [c for c in spec.storage_schema.fieldNames()]
-    merged = upsert_df(target.select(*[c for c in cols if c != BUCKET_COL]), b, spec, load_ts, seq)
-    merged = with_bucket(merged, spec).select(*cols)
+        p = parts.select(F.col(part).alias("_p"))
+        target = target.join(p, target[part].eqNullSafe(p["_p"]), "left_semi")
+    merged = rebalanced(upsert_df(target, b, spec, load_ts, seq).select(*spec.columns), [part])
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(part).parquet(path))
     return len(touched)

@@ -130,11 +130,15 @@ def test_table_rewrites_only_touched_partitions(spark, tmp_dir):
 
 def test_older_day_replayed_after_newer_wins(spark, tmp_dir):
     path = f"{tmp_dir}/f"
-    spec = U.UpsertSpec("f", PSCHEMA, ("k",), ("score",), buckets=4)
-    U.upsert_table(spark, path, pbatch(spark, [(d("2024-01-05"), 1, "a", 5)]), spec, T1)
-    U.upsert_table(spark, path, pbatch(spark, [(d("2024-01-03"), 1, "b", 3)]), spec, T2)
-    rows = read_table(spark, path, spec.storage_schema).collect()
-    assert [(r.day, r.name, r.score, r._loaded_at) for r in rows] == [(d("2024-01-05"), "a", 3, T2)]
+    # key without the partition column: the stored row keeps its first day and partition
+    spec = U.UpsertSpec("f", PSCHEMA, ("k",), ("score",), partition_by="day")
+    U.upsert_table(spark, path, pbatch(spark, [(d("2024-01-05"), 1, "a", 5), (d("2024-01-06"), 2, "x", 1)]),
+                   spec, T1)
+    day6 = {f: m for f, m in files_of(path).items() if "day=2024-01-06" in f}
+    assert U.upsert_table(spark, path, pbatch(spark, [(d("2024-01-03"), 1, "b", 3)]), spec, T2) == 2
+    rows = sorted((tuple(r) for r in read_table(spark, path, spec.schema).collect()), key=repr)
+    assert rows == sorted([(d("2024-01-05"), 1, "a", 3, T2), (d("2024-01-06"), 2, "x", 1, T1)], key=repr)
+    assert {f: m for f, m in files_of(path).items() if "day=2024-01-06" in f} == day6
 
 
 def test_upsert_plan_shuffles_target_once_and_batch_once(spark):
