@@ -90,13 +90,26 @@ def select_day(docs: DataFrame, run_date: dt.date | str, days_back: int = 1) ->
 # field access
 # ------------------------------------------------------------------------------------------------
 
-def _field(e: Column, path: str, typ: str, strict: bool) -> Column:
-    """Typed field of a variant; in strict mode an absent path raises (a JSON null gives NULL)."""
-    value = F.variant_get(e, path, typ)
+def _typed_fields(x: DataFrame, fields: list[tuple[str, str, str]], keep: list[Column],
+                  strict: bool) -> DataFrame:
+    """Pull typed fields out of the element variant ``_e``.
+
+    ``fields`` = (name, path, type). In strict mode an absent path raises while a JSON null gives
+    NULL. Each path is looked up once, into its own column, and the check and the cast read that
+    column (the two projections are not collapsed because the lookup is not a cheap expression).
+    Casting the looked-up variant is as strict as ``variant_get`` (text in an integer field fails).
+    """
+    e = F.col("_e")
     if not strict:
-        return F.try_variant_get(e, path, typ)
-    return F.when(F.variant_get(e, path, "variant").isNull(),
-                  F.raise_error(F.lit(f"required field missing from feed element: {path}"))).otherwise(value)
+        return x.select(*keep, *[F.try_variant_get(e, p, t).alias(n) for n, p, t in fields], e.alias("raw_json"))
+    looked = x.select(*keep, *[F.variant_get(e, p, "variant").alias(f"_v_{n}") for n, p, _ in fields],
+                      e.alias("raw_json"))
+    out = []
+    for n, p, t in fields:
+        v = F.col(f"_v_{n}")
+        msg = F.lit(f"required field missing from feed element: {p}")
+        out.append(F.when(v.isNull(), F.raise_error(msg)).otherwise(v.cast(t)).alias(n))
+    return looked.select(*[c for c in looked.columns if not c.startswith("_v_")], *out)
 
 
 def parse_response(docs: DataFrame) -> DataFrame:
@@ -130,31 +143,46 @@ def _seq_cols(docs: DataFrame) -> list[str]:
 # flatteners
 # ------------------------------------------------------------------------------------------------
 
+FIXTURE_FIELDS = [
+    ("fixture_id", "$.fixture.id", "bigint"),
+    ("home_team_id", "$.teams.home.id", "bigint"),
+    ("home_team_name", "$.teams.home.name", "string"),
+    ("away_team_id", "$.teams.away.id", "bigint"),
+    ("away_team_name", "$.teams.away.name", "string"),
+    ("home_goals", "$.goals.home", "bigint"),
+    ("away_goals", "$.goals.away", "bigint"),
+    ("status", "$.fixture.status.short", "string"),
+]
+FIXTURE_COLUMNS = ["fixture_id", "league_id", "date", "home_team_id", "home_team_name", "away_team_id",
+                   "away_team_name", "home_goals", "away_goals", "status", "raw_json", "_seq"]
+
+
 def flatten_fixtures(docs: DataFrame, strict: bool = True) -> DataFrame:
     """One row per ``response[*]``: RAW fixtures columns plus ``_seq`` (document order).
 
     ``date`` and ``league_id`` are the request context; fixtures carry no season.
     """
-    ctx = _ctx_cols(docs)
-    x = _explode(parse_response(docs), F.col("_resp"), ctx)
-    e = F.col("_e")
-    return x.select(
-        _field(e, "$.fixture.id", "bigint", strict).alias("fixture_id"),
-        F.col("league_id"),
-        F.col("request_date").alias("date"),
-        _field(e, "$.teams.home.id", "bigint", strict).alias("home_team_id"),
-        _field(e, "$.teams.home.name", "string", strict).alias("home_team_name"),
-        _field(e, "$.teams.away.id", "bigint", strict).alias("away_team_id"),
-        _field(e, "$.teams.away.name", "string", strict).alias("away_team_name"),
-        _field(e, "$.goals.home", "bigint", strict).alias("home_goals"),
-        _field(e, "$.goals.away", "bigint", strict).alias("away_goals"),
-        _field(e, "$.fixture.status.short", "string", strict).alias("status"),
-        e.alias("raw_json"),
-        _seq(_seq_cols(docs)),
-    )
+    x = _explode(parse_response(docs), F.col("_resp"), _ctx_cols(docs))
+    keep = [F.col("league_id"), F.col("request_date").alias("date"), _seq(_seq_cols(docs))]
+    return _typed_fields(x, FIXTURE_FIELDS, keep, strict).select(*FIXTURE_COLUMNS)
 
 
 STANDINGS_PATH = ("$.league", "$.league.standings", "$.league.standings[0]")
+STANDING_FIELDS = [
+    ("rank", "$.rank", "bigint"),
+    ("team_id", "$.team.id", "bigint"),
+    ("team_name", "$.team.name", "string"),
+    ("played", "$.all.played", "bigint"),
+    ("win", "$.all.win", "bigint"),
+    ("draw", "$.all.draw", "bigint"),
+    ("lose", "$.all.lose", "bigint"),
+    ("goals_for", "$.all.goals.for", "bigint"),
+    ("goals_against", "$.all.goals.against", "bigint"),
+    ("goal_diff", "$.goalsDiff", "bigint"),
+    ("points", "$.points", "bigint"),
+    ("form", "$.form", "string"),
+]
+STANDING_COLUMNS = ["snapshot_date", "league_id", "season"] + [f[0] for f in STANDING_FIELDS] + ["raw_json", "_seq"]
 
 
 def first_block(arr: Column, index: int = 0) -> Column:
@@ -169,37 +197,40 @@ def flatten_standings(docs: DataFrame, strict: bool = True) -> DataFrame:
     first group) contributes no rows. A JSON null on the path fails in strict mode.
     """
     ctx = _ctx_cols(docs)
-    p = parse_response(docs)
     r0 = first_block(F.col("_resp"), 0)
-    block = F.variant_get(r0, STANDINGS_PATH[-1], "array<variant>")
+    p = parse_response(docs).select(
+        *ctx, r0.alias("_r0"), F.variant_get(r0, STANDINGS_PATH[-1], "array<variant>").alias("_block"))
+    block = F.col("_block")
     if strict:
-        guard = None
+        # Only a document without a first group needs the (costly) look along the path: a JSON
+        # null there fails, a missing key skips the document.
+        guard = F.when(block.isNotNull(), block)
         for path in ("$",) + STANDINGS_PATH:
-            bad = F.is_variant_null(F.variant_get(r0, path, "variant"))
-            guard = F.when(bad, F.raise_error(F.lit(f"null on the standings path at {path}"))) if guard is None \
-                else guard.when(bad, F.raise_error(F.lit(f"null on the standings path at {path}")))
-        block = guard.otherwise(block)
+            bad = F.is_variant_null(F.variant_get(F.col("_r0"), path, "variant"))
+            guard = guard.when(bad, F.raise_error(F.lit(f"null on the standings path at {path}")))
+        block = guard.otherwise(F.lit(None))
     x = _explode(p, block, ctx)
-    e = F.col("_e")
-    return x.select(
-        F.col("request_date").alias("snapshot_date"),
-        F.col("league_id"),
-        F.col("season"),
-        _field(e, "$.rank", "bigint", strict).alias("rank"),
-        _field(e, "$.team.id", "bigint", strict).alias("team_id"),
-        _field(e, "$.team.name", "string", strict).alias("team_name"),
-        _field(e, "$.all.played", "bigint", strict).alias("played"),
-        _field(e, "$.all.win", "bigint", strict).alias("win"),
-        _field(e, "$.all.draw", "bigint", strict).alias("draw"),
-        _field(e, "$.all.lose", "bigint", strict).alias("lose"),
-        _field(e, "$.all.goals.for", "bigint", strict).alias("goals_for"),
-        _field(e, "$.all.goals.against", "bigint", strict).alias("goals_against"),
-        _field(e, "$.goalsDiff", "bigint", strict).alias("goal_diff"),
-        _field(e, "$.points", "bigint", strict).alias("points"),
-        _field(e, "$.form", "string", strict).alias("form"),
-        e.alias("raw_json"),
-        _seq(_seq_cols(docs)),
-    )
+    keep = [F.col("request_date").alias("snapshot_date"), F.col("league_id"), F.col("season"),
+            _seq(_seq_cols(docs))]
+    return _typed_fields(x, STANDING_FIELDS, keep, strict).select(*STANDING_COLUMNS)
+
+
+_ST = "$.statistics[0]"
+PLAYER_FIELDS = [
+    ("player_id", "$.player.id", "bigint"),
+    ("player_name", "$.player.name", "string"),
+    ("player_age", "$.player.age", "bigint"),
+    ("nationality", "$.player.nationality", "string"),
+    ("team_id", f"{_ST}.team.id", "bigint"),
+    ("team_name", f"{_ST}.team.name", "string"),
+    ("appearances", f"{_ST}.games.appearences", "bigint"),  # the payload's spelling
+    ("goals", f"{_ST}.goals.total", "bigint"),
+    ("assists", f"{_ST}.goals.assists", "bigint"),
+    ("yellow_cards", f"{_ST}.cards.yellow", "bigint"),
+    ("red_cards", f"{_ST}.cards.red", "bigint"),
+    ("rating", f"{_ST}.games.rating", "double"),
+]
+PLAYER_COLUMNS = ["snapshot_date", "league_id", "season"] + [f[0] for f in PLAYER_FIELDS] + ["raw_json", "_seq"]
 
 
 def flatten_players(docs: DataFrame, strict: bool = True) -> DataFrame:
@@ -208,29 +239,10 @@ def flatten_players(docs: DataFrame, strict: bool = True) -> DataFrame:
     An element with an empty ``statistics`` array fails in strict mode (the first block is required).
     The payload spells the appearances key ``appearences``.
     """
-    ctx = _ctx_cols(docs)
-    x = _explode(parse_response(docs), F.col("_resp"), ctx)
-    e = F.col("_e")
-    st = "$.statistics[0]"
-    return x.select(
-        F.col("request_date").alias("snapshot_date"),
-        F.col("league_id"),
-        F.col("season"),
-        _field(e, "$.player.id", "bigint", strict).alias("player_id"),
-        _field(e, "$.player.name", "string", strict).alias("player_name"),
-        _field(e, "$.player.age", "bigint", strict).alias("player_age"),
-        _field(e, "$.player.nationality", "string", strict).alias("nationality"),
-        _field(e, f"{st}.team.id", "bigint", strict).alias("team_id"),
-        _field(e, f"{st}.team.name", "string", strict).alias("team_name"),
-        _field(e, f"{st}.games.appearences", "bigint", strict).alias("appearances"),
-        _field(e, f"{st}.goals.total", "bigint", strict).alias("goals"),
-        _field(e, f"{st}.goals.assists", "bigint", strict).alias("assists"),
-        _field(e, f"{st}.cards.yellow", "bigint", strict).alias("yellow_cards"),
-        _field(e, f"{st}.cards.red", "bigint", strict).alias("red_cards"),
-        _field(e, f"{st}.games.rating", "double", strict).alias("rating"),
-        e.alias("raw_json"),
-        _seq(_seq_cols(docs)),
-    )
+    x = _explode(parse_response(docs), F.col("_resp"), _ctx_cols(docs))
+    keep = [F.col("request_date").alias("snapshot_date"), F.col("league_id"), F.col("season"),
+            _seq(_seq_cols(docs))]
+    return _typed_fields(x, PLAYER_FIELDS, keep, strict).select(*PLAYER_COLUMNS)
 
 
 # ------------------------------------------------------------------------------------------------
