@@ -24,6 +24,6 @@ def surrogate_key(*cols: Column | str) -> Column:
 
 
 def surrogate_key_sql(*exprs: str) -> str:
-    """The same key as a SQL expression (used by oracles and SQL users)."""
-    parts = [f"coalesce(cast({e} as varchar), '{NULL_PLACEHOLDER}')" for e in exprs]
+    """The same key as a SQL expression (valid in Spark SQL and DuckDB)."""
+    parts = [f"coalesce(cast({e} as string), '{NULL_PLACEHOLDER}')" for e in exprs]
     return "md5(" + f" || '{SEPARATOR}' || ".join(parts) + ")"

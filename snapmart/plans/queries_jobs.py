@@ -52,3 +52,15 @@ def q_stream_upsert(spark, root):
     if stream_upsert(spark, landing, "players", table, U.PLAYERS, L.flatten_players, ckpt, load_ts=A.T2):
         raise AssertionError("a run without new files applied a batch")
     return read_table(spark, table, U.PLAYERS.schema).drop("raw_json")
+
+
+@register("sql_views", Q.ctes(RS, RP, STG_S, STG_P, LABELS, DIM, body=Q.fact_player_stats_sql("stg_p", "dim")))
+def q_sql_views(spark, root):
+    """The models registered as Spark SQL views and read with a plain SELECT (the analyst path)."""
+    import uuid
+
+    from snapmart.plans.sql_views import register_models
+    t = A.Tables(spark, root)
+    names = register_models(spark, A.raw_standings(t), A.raw_players(t), A.RUN_TS, labels=A.nation_labels(t),
+                            prefix=f"sm_{uuid.uuid4().hex[:8]}_")
+    return spark.sql(f"SELECT * FROM {names['fact_player_stats']}")

@@ -1,8 +1,9 @@
 """The staging and mart models as SQL text over named relations.
 
-These mirror ``staging.py`` / ``marts.py`` exactly and serve as the independent oracle that the
-DataFrame plans are checked against (DuckDB runs them on the same parquet tables). Every argument is
-the name of a relation (a table or a CTE).
+These mirror ``staging.py`` / ``marts.py`` exactly. They serve two purposes: Spark SQL users run
+them over temp views (``sql_views.register_models``), and DuckDB runs them as the independent oracle
+the DataFrame plans are checked against. Every argument is the name of a relation (a table, view or
+CTE). The model SQL is written in the subset both engines accept.
 """
 
 from __future__ import annotations
@@ -18,7 +19,10 @@ def ctes(*pairs: tuple[str, str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in pairs) + "\n" + body
 
 
-def _ts(t: dt.datetime) -> str:
+def _ts(t: dt.datetime, dialect: str = "duckdb") -> str:
+    """A zone-less timestamp literal: TIMESTAMP is zone-less in DuckDB, TIMESTAMP_NTZ in Spark."""
+    if dialect == "spark":
+        return f"CAST('{t:%Y-%m-%d %H:%M:%S}' AS TIMESTAMP_NTZ)"
     return f"TIMESTAMP '{t:%Y-%m-%d %H:%M:%S}'"
 
 
@@ -78,25 +82,27 @@ def union_teams_sql(*srcs: str) -> str:
     return "\n    UNION\n".join(f"    SELECT team_id, team_name, league_id FROM {s}" for s in srcs)
 
 
-def dim_teams_sql(stg_s: str, stg_p: str, created_at: dt.datetime, labels: str | None = None) -> str:
+def dim_teams_sql(stg_s: str, stg_p: str, created_at: dt.datetime, labels: str | None = None,
+                  dialect: str = "duckdb") -> str:
     """``labels``: name of a (league_id, league_name, country) relation; None = the fixed CASE."""
-    return dim_from_teams_sql(union_teams_sql(stg_s, stg_p), created_at, labels)
+    return dim_from_teams_sql(union_teams_sql(stg_s, stg_p), created_at, labels, dialect)
 
 
-def dim_from_teams_sql(teams_sql: str, created_at: dt.datetime, labels: str | None = None) -> str:
+def dim_from_teams_sql(teams_sql: str, created_at: dt.datetime, labels: str | None = None,
+                       dialect: str = "duckdb") -> str:
     teams = f"({teams_sql}) u"
     if labels is None:
         return f"""
     SELECT u.team_id, u.team_name, u.league_id,
            {league_case_sql('u.league_id', 0)} AS league_name,
            {league_case_sql('u.league_id', 1)} AS country,
-           {_ts(created_at)} AS _created_at
+           {_ts(created_at, dialect)} AS _created_at
     FROM {teams}"""
     return f"""
     SELECT u.team_id, u.team_name, u.league_id,
            COALESCE(l.league_name, '{UNKNOWN_LABEL}') AS league_name,
            COALESCE(l.country, '{UNKNOWN_LABEL}') AS country,
-           {_ts(created_at)} AS _created_at
+           {_ts(created_at, dialect)} AS _created_at
     FROM {teams} LEFT JOIN {labels} l ON u.league_id = l.league_id"""
 
 

@@ -141,3 +141,19 @@ def test_dim_is_one_aggregate_over_the_union(spark):
     plan = marts.dim_teams(s, p, RUN)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1 and "Union" in plan
     assert F is not None
+
+
+def test_sql_views_equal_dataframe_models(spark):
+    from snapmart.plans.sql_views import register_models
+    raw_s = standings(spark, [dict(team_id=1, team_name=" arsenal "), dict(team_id=2, league_id=140, played=0),
+                              dict(team_id=3, league_id=None)])
+    raw_p = players(spark, [dict(player_id=1, team_id=1, appearances=0), dict(player_id=2, team_id=2, league_id=None)])
+    names = register_models(spark, raw_s, raw_p, RUN, prefix="t_sqlviews_")
+    s, p = staging.stg_standings(raw_s), staging.stg_players(raw_p)
+    dim = marts.dim_teams(s, p, RUN)
+    for model, df in (("stg_standings", s), ("stg_players", p), ("dim_teams", dim),
+                      ("fact_standings", marts.fact_standings(s, dim)),
+                      ("fact_player_stats", marts.fact_player_stats(p, dim))):
+        view = spark.table(names[model])
+        assert view.columns == df.columns, model
+        assert sorted(map(tuple, view.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr), model
