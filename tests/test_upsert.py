@@ -147,3 +147,19 @@ def test_upsert_plan_shuffles_target_once_and_batch_once(spark):
     plan = U.upsert_df(t, b, SPEC, T1)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 2, plan
     assert F is not None and dt is not None
+
+
+def test_hot_key_holding_a_third_of_the_batch(spark):
+    """One key with a third of 60k batch rows: folded exactly, pre-aggregated before the shuffle."""
+    n = 60000
+    b = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 100).alias("k1"),
+        F.lit(1).cast("bigint").alias("k2"),
+        F.col("id").alias("i"), (F.col("id") * 2).alias("u"), F.col("id").cast("string").alias("v"),
+        F.col("id").alias("_seq"))
+    out = U.upsert_df(target_df(spark, [(7, 1, -1, -1, "old", T0)]), b, SPEC, T1)
+    hot = out.where("k1 = 7").collect()
+    assert [(r.i, r.u, r.v, r._loaded_at) for r in hot] == [(-1, 2 * (n - 3), str(n - 3), T1)]
+    assert out.count() == 1 + (n - n // 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan or "partial_max_by" in plan or plan.count("SortAggregate") >= 2
