@@ -8,6 +8,7 @@ upsert into the partitioned RAW table. ``build``: gate -> staging -> marts (mate
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from snapmart.operators.upsert import FIXTURES, PLAYERS, STANDINGS, UpsertSpec,
 from snapmart.plans import marts, staging
 from snapmart.schemas import LEAGUE_IDS, LEAGUE_LABELS, RAW_PLAYERS, RAW_STANDINGS, SEASON
 from snapmart.sources import landing as L
-from snapmart.sources.rawstore import materialize_table, read_table
+from snapmart.sources.rawstore import publish_version, read_table
 
 FEEDS: dict[str, tuple[UpsertSpec, object, int | None]] = {
     # feed: (table spec, flattener, days back from the run date; None = stamp the run date as snapshot)
@@ -60,15 +61,23 @@ def build(spark: SparkSession, raw_root: str, out_root: str, run_ts: dt.datetime
     return build_from(raw_s, raw_p, out_root, run_ts, labels, fail_on_check)
 
 
+def build_version(run_ts: dt.datetime) -> str:
+    """Version name of a build: sorts in build-time order, unique per build."""
+    return f"v{run_ts:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+
 def build_from(raw_s: DataFrame, raw_p: DataFrame, out_root: str, run_ts: dt.datetime,
                labels: Mapping[int, tuple[str, str]] | DataFrame = LEAGUE_LABELS,
                fail_on_check: bool = False) -> dict[str, DataFrame]:
+    """Each mart is published as a new version (readers use ``rawstore.read_latest``), so a build
+    that fails part-way leaves every mart at its previous complete version. The facts read the
+    stored dimension, not the plan that built it."""
+    v = build_version(run_ts)
     stg_s, stg_p = staging.stg_standings(raw_s), staging.stg_players(raw_p)
-    dim = materialize_table(marts.dim_teams(stg_s, stg_p, run_ts, labels), f"{out_root}/dim_teams")
-    fs = materialize_table(marts.fact_standings(stg_s, dim), f"{out_root}/fact_standings",
-                           ["snapshot_date"])
-    fp = materialize_table(marts.fact_player_stats(stg_p, dim), f"{out_root}/fact_player_stats",
-                           ["snapshot_date"])
+    dim = publish_version(marts.dim_teams(stg_s, stg_p, run_ts, labels), f"{out_root}/dim_teams", v)
+    fs = publish_version(marts.fact_standings(stg_s, dim), f"{out_root}/fact_standings", v, ["snapshot_date"])
+    fp = publish_version(marts.fact_player_stats(stg_p, dim), f"{out_root}/fact_player_stats", v,
+                         ["snapshot_date"])
     report = C.check_report([("stg_players", stg_p, C.STG_PLAYERS_CHECKS),
                              ("stg_standings", stg_s, C.STG_STANDINGS_CHECKS)])
     if fail_on_check:

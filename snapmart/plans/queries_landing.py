@@ -204,8 +204,11 @@ def q_read_source(spark, root):
     ("stg_s", Q.stg_standings_sql("rs")), ("stg_p", Q.stg_players_sql("rp")), ("labels_t", A.NATION_LABELS_SQL),
     body=Q.dim_teams_sql("stg_s", "stg_p", A.RUN_TS, labels="labels_t")))
 def q_materialize_table(spark, root):
-    """The dimension is written as a table (full rebuild) and consumers read the stored copy."""
+    """The dimension is rebuilt as a new table version; readers get the newest committed version."""
+    from snapmart.plans.jobs import build_version
     t = _t(spark, root)
     dim = marts.dim_teams(staging.stg_standings(A.raw_standings(t)), staging.stg_players(A.raw_players(t)),
                           A.RUN_TS, labels=A.nation_labels(t))
-    return R.materialize_table(dim, scratch_path(spark, "dim_teams"))
+    path = scratch_path(spark, "dim_teams")
+    R.publish_version(dim, path, build_version(A.RUN_TS))
+    return R.read_latest(spark, path, dim.schema)

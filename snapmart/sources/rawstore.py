@@ -67,3 +67,61 @@ def materialize_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+# ------------------------------------------------------------------------------------------------
+# versioned tables: a rebuild never exposes a half-written table
+# ------------------------------------------------------------------------------------------------
+# A full rebuild writes a new version directory under <path>/_versions/. Spark's job commit writes
+# _SUCCESS into it last, so a version is complete exactly when _SUCCESS exists. Readers take the
+# newest complete version; a job that dies mid-write leaves the previous version in place. Version
+# names sort in time order (zero-padded build time plus a unique suffix).
+
+VERSIONS_DIR = "_versions"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def complete_versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the committed versions of a versioned table, oldest first."""
+    root, fs = _fs(spark, f"{path}/{VERSIONS_DIR}")
+    if not fs.exists(root):
+        return []
+    jvm = spark.sparkContext._jvm
+    names = []
+    for st in fs.listStatus(root):
+        if st.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            names.append(st.getPath().getName())
+    return sorted(names)
+
+
+def publish_version(df: DataFrame, path: str, version: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as a new version of the table at ``path`` and return a read of that version."""
+    target = f"{path}/{VERSIONS_DIR}/{version}"
+    w = rebalanced(df, partition_by).write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target).select(*df.columns)
+
+
+def read_latest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest committed version of a versioned table."""
+    versions = complete_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no committed version under {path}/{VERSIONS_DIR}")
+    return read_table(spark, f"{path}/{VERSIONS_DIR}/{versions[-1]}", schema)
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Delete all but the newest ``keep`` committed versions; returns how many were removed."""
+    versions = complete_versions(spark, path)
+    old = versions[:-keep] if keep else versions
+    for v in old:
+        p, fs = _fs(spark, f"{path}/{VERSIONS_DIR}/{v}")
+        fs.delete(p, True)
+    return len(old)

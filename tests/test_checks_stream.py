@@ -69,3 +69,17 @@ def test_stream_ingests_only_new_files(spark, tmp_dir):
     assert stream_upsert(spark, land, "players", table, U.PLAYERS, L.flatten_players, ckpt, load_ts=T0) == 1
     rows = read_table(spark, table, U.PLAYERS.schema).collect()
     assert [(r.player_id, r.goals) for r in rows] == [(1, 5)]
+
+
+def test_versioned_marts_keep_the_previous_version_until_commit(spark, tmp_dir):
+    from snapmart.sources import rawstore as R
+    df = spark.range(3).selectExpr("id", "id % 2 AS p")
+    R.publish_version(df, f"{tmp_dir}/m", "v1", ["p"])
+    R.publish_version(df.where("id > 0"), f"{tmp_dir}/m", "v2", ["p"])
+    # a version without _SUCCESS (a build that died) is invisible
+    import os
+    os.makedirs(f"{tmp_dir}/m/_versions/v3")
+    assert R.complete_versions(spark, f"{tmp_dir}/m") == ["v1", "v2"]
+    assert R.read_latest(spark, f"{tmp_dir}/m", df.schema).count() == 2
+    assert R.drop_old_versions(spark, f"{tmp_dir}/m", keep=1) == 1
+    assert R.complete_versions(spark, f"{tmp_dir}/m") == ["v2"]
