@@ -53,3 +53,29 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/snapmart/{name}-{uuid.uuid4().hex}"
+
+
+# Settings for a large cluster (about 1,000 executors reading about 100 TB). The library never sets
+# these itself; pass them to the session builder (``.config(map=CLUSTER_CONF)``) or spark-submit.
+CLUSTER_CONF = {
+    # AQE re-plans from measured sizes: coalesces small shuffle partitions, splits skewed join
+    # partitions, and turns a sort-merge join into a broadcast only when the measured side is small.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    # Initial shuffle width: 8,000 x 256 MB covers a 2 TB shuffle stage without spilling tasks;
+    # AQE coalesces it down for the small stages (dimension, checks).
+    "spark.sql.shuffle.partitions": "8000",
+    # Scan splits of 512 MB: 100 TB gives about 200k tasks, about 25 waves over 8,000 cores.
+    "spark.sql.files.maxPartitionBytes": "512m",
+    # Static plans broadcast only below 64 MB of estimated size; the runtime (measured) threshold is
+    # the one that matters for the dimension join.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "256m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+}
