@@ -40,6 +40,8 @@ LOAD_COL = "_loaded_at"
 # Above this many touched partitions the target is restricted by a semi-join instead of a literal
 # IN list (the list is the only thing collected to the driver, and it stays bounded).
 MAX_LISTED_PARTITIONS = 1000
+# A batch with at most this many distinct keys locates its stored rows through a pushed-down IN list.
+MAX_LISTED_KEYS = 10000
 
 
 @dataclass(frozen=True)
@@ -162,7 +164,15 @@ def touched_partitions(target: DataFrame, batch: DataFrame, spec: UpsertSpec) ->
     if part in spec.keys:
         return own.distinct()
     keys = batch.select(*spec.keys).where(all_not_null(*spec.keys)).distinct()
-    located = target.select(*spec.keys, part).join(keys, list(spec.keys), "left_semi").select(part)
+    stored = target.select(*spec.keys, part)
+    if len(spec.keys) == 1:
+        # A bounded key list is pushed into the scan: Parquet skips row groups whose min/max range
+        # holds none of the keys (a daily batch of new and recent fixtures touches few row groups).
+        listed = [r[0] for r in keys.limit(MAX_LISTED_KEYS + 1).collect()]
+        if len(listed) <= MAX_LISTED_KEYS:
+            located = stored.where(F.col(spec.keys[0]).isin(listed)).select(part)
+            return own.unionByName(located).distinct()
+    located = stored.join(keys, list(spec.keys), "left_semi").select(part)
     return own.unionByName(located).distinct()
 
 
