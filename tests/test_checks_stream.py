@@ -42,6 +42,11 @@ def test_gate_and_failing_build(spark, tmp_dir):
     assert out["fact_standings"].count() == 1
     with pytest.raises(C.CheckFailed):
         C.assert_passed(out["check_report"])
+    from snapmart.sources.rawstore import complete_versions
+    with pytest.raises(C.CheckFailed):
+        jobs.build_from(standings(spark, [dict(league_id=7)]), players(spark, [{}]), f"{tmp_dir}/b", T0,
+                        fail_on_check=True, checks_first=True)
+    assert complete_versions(spark, f"{tmp_dir}/b/dim_teams") == []  # nothing published
 
 
 def test_relationship_and_unique(spark):
