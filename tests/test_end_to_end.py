@@ -5,7 +5,6 @@ import json
 
 from conftest import d
 
-from snapmart.operators import upsert as U
 from snapmart.plans import jobs
 from snapmart.schemas import RAW_FIXTURES, RAW_PLAYERS
 from snapmart.sources import landing as L
@@ -79,4 +78,3 @@ def test_land_load_build(spark, tmp_dir):
     assert fp[(901, d("2024-08-17"))].goals_per_game is None
     assert fp[(900, d("2024-08-18"))].goals_per_game == 1.0
     assert fp[(900, d("2024-08-18"))].team_name == "TEAM 33"
-    assert U.PLAYERS.partition_by == "snapshot_date"

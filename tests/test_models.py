@@ -4,7 +4,6 @@ import datetime as dt
 import hashlib
 
 from conftest import T0, d
-from pyspark.sql import functions as F
 
 from snapmart.functions.keys import surrogate_key
 from snapmart.plans import marts, staging
@@ -140,7 +139,6 @@ def test_dim_is_one_aggregate_over_the_union(spark):
     p = staging.stg_players(players(spark, [{}]))
     plan = marts.dim_teams(s, p, RUN)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1 and "Union" in plan
-    assert F is not None
 
 
 def test_sql_views_equal_dataframe_models(spark):
