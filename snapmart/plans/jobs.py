@@ -46,8 +46,10 @@ def load_feed(spark: SparkSession, landing_root: str, raw_root: str, feed: str,
               load_ts: dt.datetime, leagues: Iterable[int] | DataFrame = LEAGUE_IDS,
               season: int | None = SEASON) -> int:
     """Extract-and-load of one feed for one run; returns the number of RAW partitions rewritten."""
-    spec = FEEDS[feed][0]
-    rows = feed_rows(L.read_landed(spark, landing_root, feed), feed, run_date, leagues, season)
+    spec, _, days_back = FEEDS[feed]
+    day = dt.date.fromisoformat(str(run_date)) - dt.timedelta(days=days_back or 0)
+    docs = L.read_landed(spark, landing_root, feed, day=day)
+    rows = feed_rows(docs, feed, run_date, leagues, season)
     return upsert_table(spark, f"{raw_root}/{spec.name}", rows, spec, load_ts)
 
 

@@ -53,10 +53,20 @@ def landed_text_schema() -> T.StructType:
     return T.StructType([T.StructField("value", T.StringType())] + DOC_SCHEMA.fields[1:])
 
 
-def read_landed(spark: SparkSession, root: str, feed: str) -> DataFrame:
-    """All landed documents of one feed; context columns come from the partition directories."""
-    return (spark.read.format("text").schema(landed_text_schema()).load(f"{root}/{feed}")
-            .withColumnRenamed("value", "body"))
+def read_landed(spark: SparkSession, root: str, feed: str, day: dt.date | str | None = None) -> DataFrame:
+    """Landed documents of one feed; context columns come from the partition directories.
+
+    With ``day`` only that day's directory is listed (a daily run never lists the whole landing
+    history); a day with nothing landed gives an empty DataFrame.
+    """
+    reader = spark.read.format("text").schema(landed_text_schema()).option("basePath", f"{root}/{feed}")
+    if day is None:
+        return reader.load(f"{root}/{feed}").withColumnRenamed("value", "body")
+    from snapmart.sources.rawstore import path_exists
+    path = f"{root}/{feed}/request_date={day}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], DOC_SCHEMA)
+    return reader.load(path).withColumnRenamed("value", "body")
 
 
 def land(docs: DataFrame, root: str, feed: str) -> None:

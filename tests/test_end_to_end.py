@@ -78,3 +78,11 @@ def test_land_load_build(spark, tmp_dir):
     assert fp[(901, d("2024-08-17"))].goals_per_game is None
     assert fp[(900, d("2024-08-18"))].goals_per_game == 1.0
     assert fp[(900, d("2024-08-18"))].team_name == "TEAM 33"
+
+
+def test_run_without_landed_documents_loads_nothing(spark, tmp_dir):
+    from snapmart.sources.rawstore import path_exists
+    L.land(spark.createDataFrame([doc("2024-08-16", 39, {"response": []})], L.DOC_SCHEMA), f"{tmp_dir}/l", "fixtures")
+    assert jobs.load_feed(spark, f"{tmp_dir}/l", f"{tmp_dir}/raw", "fixtures", "2024-09-01",
+                          dt.datetime(2024, 9, 1, 6, 0)) == 0
+    assert not path_exists(spark, f"{tmp_dir}/raw/raw_fixtures")
