@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from snapmart.functions.clean import all_not_null, ntz_lit
 from snapmart.schemas import RAW_FIXTURES, RAW_PLAYERS, RAW_STANDINGS
-from snapmart.sources.rawstore import ensure_table, read_table, rebalanced
+from snapmart.sources.rawstore import ensure_table, path_exists, read_table, rebalanced
 
 LOAD_COL = "_loaded_at"
 # Above this many touched partitions the target is restricted by a semi-join instead of a literal
@@ -151,7 +151,7 @@ def upsert_df(target: DataFrame, batch: DataFrame, spec: UpsertSpec, load_ts: dt
 # table form
 # ------------------------------------------------------------------------------------------------
 
-def touched_partitions(target: DataFrame, batch: DataFrame, spec: UpsertSpec) -> DataFrame:
+def touched_partitions(target: DataFrame | None, batch: DataFrame, spec: UpsertSpec) -> DataFrame:
     """Distinct storage-partition values the batch can touch.
 
     When the partition column is part of the key, a batch row can only meet rows of its own
@@ -198,22 +198,56 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertS
         b.unpersist()
 
 
+HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_dir(path: str, part: str, value) -> str | None:
+    """Directory of one partition value, for value types whose directory name needs no escaping."""
+    if value is None:
+        return f"{path}/{part}={HIVE_NULL_PARTITION}"
+    if isinstance(value, (dt.date, int)) and not isinstance(value, bool):
+        return f"{path}/{part}={value.isoformat() if isinstance(value, dt.date) else value}"
+    return None
+
+
+def _read_partitions(spark: SparkSession, path: str, spec: UpsertSpec, part: str, values: list) -> DataFrame | None:
+    """Read only the given partitions' directories (no listing of the table's history); None when a
+    value's directory name cannot be formed, so the caller prunes through a filter instead."""
+    dirs = [partition_dir(path, part, v) for v in values]
+    if any(d is None for d in dirs):
+        return None
+    existing = [d for d in dirs if path_exists(spark, d)]
+    if not existing:
+        return spark.createDataFrame([], spec.schema)
+    return (spark.read.schema(spec.schema).option("basePath", path).parquet(*existing)
+            .select(*spec.columns))
+
+
 def _upsert_into(spark, path, b, spec, load_ts, seq, part) -> int:
     if b.isEmpty():
         return 0
     ensure_table(spark, path, spec.schema, [part])
-    target = read_table(spark, path, spec.schema)
-    parts = touched_partitions(target, b, spec)
+    # Creating a file-based DataFrame lists the table's files; when the partition column is in the
+    # key, the touched partitions come from the batch alone and the whole table is never listed.
+    key_part = part in spec.keys
+    whole = None if key_part else read_table(spark, path, spec.schema)
+    parts = touched_partitions(whole, b, spec)
     touched = [r[0] for r in parts.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    target = None
     if len(touched) <= MAX_LISTED_PARTITIONS:
-        values = [v for v in touched if v is not None]
-        cond = F.col(part).isin(values) if values else F.lit(False)
-        if len(values) < len(touched):
-            cond = cond | F.col(part).isNull()
-        target = target.where(cond)
+        if key_part:
+            target = _read_partitions(spark, path, spec, part, touched)
+        if target is None:
+            whole = whole if whole is not None else read_table(spark, path, spec.schema)
+            values = [v for v in touched if v is not None]
+            cond = F.col(part).isin(values) if values else F.lit(False)
+            if len(values) < len(touched):
+                cond = cond | F.col(part).isNull()
+            target = whole.where(cond)
     else:
+        whole = whole if whole is not None else read_table(spark, path, spec.schema)
         p = parts.select(F.col(part).alias("_p"))
-        target = target.join(p, target[part].eqNullSafe(p["_p"]), "left_semi")
+        target = whole.join(p, whole[part].eqNullSafe(p["_p"]), "left_semi")
     merged = rebalanced(upsert_df(target, b, spec, load_ts, seq).select(*spec.columns), [part])
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(part).parquet(path))
