@@ -31,11 +31,19 @@ def _marker(table_path: str, query_name: str, batch_id: int) -> str:
 def stream_upsert(spark: SparkSession, landing_root: str, feed: str, table_path: str, spec: UpsertSpec,
                   flatten: Callable[[DataFrame], DataFrame], checkpoint: str,
                   load_ts: dt.datetime | None = None, query_name: str | None = None,
-                  max_files_per_trigger: int | None = None) -> int:
-    """Run one availableNow pass over the landing directory; returns the number of batches applied."""
+                  max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> int:
+    """Run one availableNow pass over the landing directory; returns the number of batches applied.
+
+    ``max_files_per_trigger`` bounds each micro-batch (files are taken oldest first, so later
+    landings still win). ``archive_dir`` moves consumed files out of the landing directory, which
+    keeps the per-trigger listing small after years of landings; leave it unset when batch loads
+    read the same landing directory.
+    """
     reader = spark.readStream.format("text").schema(L.landed_text_schema())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     docs = reader.load(f"{landing_root}/{feed}").withColumnRenamed("value", "body")
     name = query_name or f"ingest_{spec.name}"
     applied = []

@@ -88,3 +88,18 @@ def test_versioned_marts_keep_the_previous_version_until_commit(spark, tmp_dir):
     assert R.read_latest(spark, f"{tmp_dir}/m", df.schema).count() == 2
     assert R.drop_old_versions(spark, f"{tmp_dir}/m", keep=1) == 1
     assert R.complete_versions(spark, f"{tmp_dir}/m") == ["v2"]
+
+
+def test_stream_in_bounded_micro_batches_with_archiving(spark, tmp_dir):
+    import os
+    land, table, ckpt, arch = (f"{tmp_dir}/{x}" for x in ("landing", "raw", "ckpt", "archive"))
+    for goals in (1, 2, 3):
+        L.land(spark.createDataFrame([(player_doc(1, goals), d("2024-08-01"), 39, 2024)], L.DOC_SCHEMA), land,
+               "players")
+    n = stream_upsert(spark, land, "players", table, U.PLAYERS, L.flatten_players, ckpt, load_ts=T0,
+                      max_files_per_trigger=1, archive_dir=arch)
+    assert n == 3
+    rows = read_table(spark, table, U.PLAYERS.schema).collect()
+    assert [(r.player_id, r.goals) for r in rows] == [(1, 3)]  # landed last, applied last
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".txt")]
+    assert len(archived) >= 2  # files of completed batches are moved out of the landing directory
