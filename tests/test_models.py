@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 
 from conftest import T0, d
+from pyspark.sql import functions as F
 
 from snapmart.functions.keys import surrogate_key
 from snapmart.plans import marts, staging
@@ -155,3 +156,18 @@ def test_sql_views_equal_dataframe_models(spark):
         view = spark.table(names[model])
         assert view.columns == df.columns, model
         assert sorted(map(tuple, view.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr), model
+
+
+def test_models_prune_the_payload_and_push_filters_into_the_scan(spark, tmp_path):
+    from snapmart.sources.rawstore import append_table, read_table
+    path = str(tmp_path / "raw_standings")
+    raw = standings(spark, [dict(team_id=1), dict(team_id=2)]).withColumn(
+        "raw_json", F.parse_json(F.lit('{"a": 1}')))
+    append_table(raw, path, ["snapshot_date"])
+    stg = staging.stg_standings(read_table(spark, path, RAW_STANDINGS))
+    dim = marts.dim_teams(stg, staging.stg_players(players(spark, [{}])), RUN)
+    for df in (stg, dim, marts.fact_standings(stg, dim)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.split("\n") if "FileScan parquet" in line]
+        assert scans and all("raw_json" not in s for s in scans), plan
+        assert all("IsNotNull(team_id)" in s and "IsNotNull(league_id)" in s for s in scans), plan
