@@ -13,6 +13,14 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+def described(schema: T.StructType, comments: dict[str, str]) -> T.StructType:
+    """Attach column descriptions (``comment`` metadata, shown by DESCRIBE on a catalog table)."""
+    return T.StructType([T.StructField(f.name, f.dataType, f.nullable,
+                                       {**(f.metadata or {}), "comment": comments[f.name]} if f.name in comments
+                                       else f.metadata)
+                         for f in schema.fields])
+
+
 # --- fixed values that must equal the reference's -------------------------------------------
 # League ids fetched per run, the season requested, and the league labels of the dimension.
 LEAGUE_IDS = [39, 140]
@@ -78,3 +86,29 @@ FACT_PLAYER_STATS_COLUMNS = [
 CHECK_REPORT = _schema(
     ("model", S), ("column", S), ("check", S), ("failures", L), ("passed", T.BooleanType()),
 )
+
+
+# Column descriptions of the two declared RAW sources (the inputs of the staging models).
+_COMMON = {
+    "snapshot_date": "Day the cumulative feed was captured (the run date)",
+    "league_id": "League the request was made for",
+    "season": "Season the request was made for",
+    "team_id": "Team identifier of the feed",
+    "raw_json": "The feed element as received, kept as VARIANT",
+    "_loaded_at": "When the row was last inserted or updated by a load",
+}
+RAW_STANDINGS = described(RAW_STANDINGS, {
+    **_COMMON,
+    "rank": "Position in the league table", "team_name": "Team name as received",
+    "played": "Matches played", "win": "Matches won", "draw": "Matches drawn", "lose": "Matches lost",
+    "goals_for": "Goals scored", "goals_against": "Goals conceded", "goal_diff": "Goals scored minus conceded",
+    "points": "League points", "form": "Recent results, one letter per match",
+})
+RAW_PLAYERS = described(RAW_PLAYERS, {
+    **_COMMON,
+    "player_id": "Player identifier of the feed", "player_name": "Player name as received",
+    "player_age": "Age in years", "nationality": "Nationality as received", "team_name": "Team name as received",
+    "appearances": "Matches appeared in this season", "goals": "Goals this season",
+    "assists": "Assists this season", "yellow_cards": "Yellow cards this season",
+    "red_cards": "Red cards this season", "rating": "Average match rating",
+})
