@@ -25,6 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # test-sized data: let AQE keep a few parallel tasks instead of coalescing to one
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.driver.memory", "8g")
