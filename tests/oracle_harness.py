@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -35,7 +36,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if os.environ.get("ORACLE_EXACT") else round(v, 9)
     if isinstance(v, decimal.Decimal):
         return round(float(v), 9)
     if isinstance(v, dt.datetime):
