@@ -14,6 +14,7 @@ loop would.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,8 +58,9 @@ def stream_upsert(spark: SparkSession, landing_root: str, feed: str, table_path:
         spark.range(1).select(F.lit(batch_id).alias("batch_id")).write.mode("overwrite").parquet(marker)
         applied.append(batch_id)
 
+    # the marker name is stable across runs; the query name only has to be unique while it runs
     q = (docs.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).queryName(name).start())
+         .trigger(availableNow=True).queryName(f"{name}-{uuid.uuid4().hex[:8]}").start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
