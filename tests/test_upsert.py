@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from conftest import T0, T1, T2, d
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -174,3 +176,34 @@ def test_locating_stored_keys_pushes_an_in_list_into_the_scan(spark, tmp_dir):
     assert sorted(r[0] for r in tp.collect()) == [d("2024-01-06"), d("2024-01-18"), d("2024-03-01")]
     plan = tp._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(k, [5,77])]" in plan, plan
+
+
+day = st.sampled_from([d("2024-01-01"), d("2024-01-02"), d("2024-01-03")])
+trow = st.tuples(day, st.one_of(st.none(), st.integers(0, 3)), st.sampled_from(["a", "b"]), val)
+
+
+@pytest.mark.parametrize("keys", [("k",), ("day", "k")])
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(batches=st.lists(st.lists(trow, max_size=6), min_size=1, max_size=3))
+def test_property_table_path_matches_row_by_row_merge(spark, tmp_path_factory, keys, batches):
+    """Batches applied one after another through upsert_table equal the MERGE loop, whether the
+    partition column is insert-only (rows stay in the partition of their first day) or in the key
+    (the touched partitions' directories are read directly)."""
+    path = str(tmp_path_factory.mktemp("prop") / "t")
+    spec = U.UpsertSpec("f", PSCHEMA, keys, ("score",), partition_by="day")
+    model = []
+    for n, batch in enumerate(batches):
+        ts = [T0, T1, T2][n]
+        U.upsert_table(spark, path, pbatch(spark, batch), spec, ts)
+        for dday, k, name, score in batch:
+            row = {"day": dday, "k": k}
+            hits = [r for r in model if all(row[c] is not None and r[c] == row[c] for c in keys)]
+            if hits:
+                for r in hits:
+                    r["score"], r["_loaded_at"] = score, ts
+            else:
+                model.append(dict(day=dday, k=k, name=name, score=score, _loaded_at=ts))
+    expected = sorted((tuple(r[c] for c in PSCHEMA.fieldNames()) for r in model), key=repr)
+    got = sorted((tuple(r) for r in read_table(spark, path, spec.schema).collect()), key=repr) \
+        if model else []
+    assert got == expected
