@@ -34,12 +34,13 @@ from pyspark.sql import types as T
 
 from snapmart.functions.clean import all_not_null, ntz_lit
 from snapmart.schemas import RAW_FIXTURES, RAW_PLAYERS, RAW_STANDINGS
-from snapmart.sources.rawstore import ensure_table, path_exists, read_table, rebalanced
+from snapmart.sources.rawstore import ensure_table, read_table, rebalanced
 
 LOAD_COL = "_loaded_at"
 # Above this many touched partitions the target is restricted by a semi-join instead of a literal
-# IN list (the list is the only thing collected to the driver, and it stays bounded).
-MAX_LISTED_PARTITIONS = 1000
+# IN list (the list is the only thing collected to the driver, and it stays bounded: 10,000 days
+# is 27 years of daily partitions in about 80 KB).
+MAX_LISTED_PARTITIONS = 10000
 # A batch with at most this many distinct keys locates its stored rows through a pushed-down IN list.
 MAX_LISTED_KEYS = 10000
 
@@ -211,16 +212,26 @@ def partition_dir(path: str, part: str, value) -> str | None:
 
 
 def _read_partitions(spark: SparkSession, path: str, spec: UpsertSpec, part: str, values: list) -> DataFrame | None:
-    """Read only the given partitions' directories (no listing of the table's history); None when a
-    value's directory name cannot be formed, so the caller prunes through a filter instead."""
+    """Read only the given partitions' directories; None when a value's directory name cannot be
+    formed, so the caller prunes through a filter instead.
+
+    The directories are one glob (``part={v1,v2,...}``): expanding it lists the table's top level
+    once, and only the matched directories' files are listed, never the table's whole history.
+    """
     dirs = [partition_dir(path, part, v) for v in values]
     if any(d is None for d in dirs):
         return None
-    existing = [d for d in dirs if path_exists(spark, d)]
-    if not existing:
+    pattern = f"{path}/{{{','.join(d.rsplit('/', 1)[1] for d in dirs)}}}"
+    if not _glob_matches(spark, pattern):
         return spark.createDataFrame([], spec.schema)
-    return (spark.read.schema(spec.schema).option("basePath", path).parquet(*existing)
-            .select(*spec.columns))
+    return spark.read.schema(spec.schema).option("basePath", path).parquet(pattern).select(*spec.columns)
+
+
+def _glob_matches(spark: SparkSession, pattern: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
 
 
 def _upsert_into(spark, path, b, spec, load_ts, seq, part) -> int:
