@@ -86,3 +86,17 @@ def test_run_without_landed_documents_loads_nothing(spark, tmp_dir):
     assert jobs.load_feed(spark, f"{tmp_dir}/l", f"{tmp_dir}/raw", "fixtures", "2024-09-01",
                           dt.datetime(2024, 9, 1, 6, 0)) == 0
     assert not path_exists(spark, f"{tmp_dir}/raw/raw_fixtures")
+
+
+def test_command_line_load_and_build(spark, tmp_dir, capsys):
+    from snapmart.__main__ import main
+    team_doc = {"response": [{"league": {"id": 39, "standings": [[team(33, 1, 1, 1, 0, 0)]]}}]}
+    player_doc = {"response": [player(900, 33, 1, 1)]}
+    L.land(spark.createDataFrame([doc("2024-08-17", 39, team_doc)], L.DOC_SCHEMA), f"{tmp_dir}/l", "standings")
+    L.land(spark.createDataFrame([doc("2024-08-17", 39, player_doc)], L.DOC_SCHEMA), f"{tmp_dir}/l", "players")
+    for feed in ("standings", "players"):
+        assert main(["load", "--landing", f"{tmp_dir}/l", "--raw", f"{tmp_dir}/raw", "--feed", feed,
+                     "--run-date", "2024-08-17"], spark=spark) == 0
+    assert main(["build", "--raw", f"{tmp_dir}/raw", "--marts", f"{tmp_dir}/m", "--fail-on-check"], spark=spark) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    assert json.loads(out[-1])["checks"] and json.loads(out[0])["partitions_rewritten"] == 1
