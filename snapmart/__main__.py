@@ -5,6 +5,7 @@ taken with ``getOrCreate`` and never reconfigured here.
 
     python -m snapmart load --landing ROOT --raw ROOT --feed standings --run-date 2024-08-02
     python -m snapmart build --raw ROOT --marts ROOT [--fail-on-check] [--checks-first]
+    python -m snapmart stream --landing ROOT --raw ROOT --feed players --checkpoint DIR
 """
 
 from __future__ import annotations
@@ -38,6 +39,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     bd.add_argument("--marts", required=True)
     bd.add_argument("--fail-on-check", action="store_true")
     bd.add_argument("--checks-first", action="store_true")
+    sm = sub.add_parser("stream", help="ingest newly landed documents of one feed (availableNow)")
+    sm.add_argument("--landing", required=True)
+    sm.add_argument("--raw", required=True)
+    sm.add_argument("--feed", required=True, choices=sorted(jobs.FEEDS))
+    sm.add_argument("--checkpoint", required=True)
+    sm.add_argument("--max-files-per-trigger", type=int, default=None)
+    sm.add_argument("--archive-dir", default=None)
     args = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName(f"snapmart-{args.cmd}").getOrCreate()
@@ -50,6 +58,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         n = jobs.load_feed(spark, args.landing, args.raw, args.feed, args.run_date, _now(), **kw)
         print(json.dumps({"feed": args.feed, "run_date": str(args.run_date), "partitions_rewritten": n}))
         return 0
+    if args.cmd == "stream":
+        from snapmart.streaming.ingest import stream_upsert
+        spec, flatten, _ = jobs.FEEDS[args.feed]
+        n = stream_upsert(spark, args.landing, args.feed, f"{args.raw}/{spec.name}", spec, flatten, args.checkpoint,
+                          max_files_per_trigger=args.max_files_per_trigger, archive_dir=args.archive_dir)
+        print(json.dumps({"feed": args.feed, "batches_applied": n}))
+        return 0
     out = jobs.build(spark, args.raw, args.marts, _now(), fail_on_check=args.fail_on_check,
                      checks_first=args.checks_first)
     report = [r.asDict() for r in out["check_report"].collect()]  # 13 rows

@@ -100,3 +100,6 @@ def test_command_line_load_and_build(spark, tmp_dir, capsys):
     assert main(["build", "--raw", f"{tmp_dir}/raw", "--marts", f"{tmp_dir}/m", "--fail-on-check"], spark=spark) == 0
     out = capsys.readouterr().out.strip().splitlines()
     assert json.loads(out[-1])["checks"] and json.loads(out[0])["partitions_rewritten"] == 1
+    assert main(["stream", "--landing", f"{tmp_dir}/l", "--raw", f"{tmp_dir}/raw2", "--feed", "players",
+                 "--checkpoint", f"{tmp_dir}/ck"], spark=spark) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["batches_applied"] == 1
