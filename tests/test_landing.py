@@ -110,3 +110,19 @@ def test_landed_feed_partitions_are_pruned(spark, tmp_dir):
     plan = sel._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "request_date" in plan
     assert [r.fixture_id for r in L.flatten_fixtures(sel).collect()] == [1]
+
+
+def test_strictness_does_not_depend_on_ansi_mode(spark):
+    p = player(7)
+    p["statistics"][0]["goals"]["total"] = "two"
+    bad = fixture(1)
+    del bad["goals"]["home"]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            L.flatten_players(docs(spark, [{"response": [p]}])).collect()
+        with pytest.raises(Exception, match="required field missing"):
+            L.flatten_fixtures(docs(spark, [{"response": [bad]}])).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
