@@ -40,7 +40,7 @@ DOC_SCHEMA = T.StructType([
     T.StructField("season", T.LongType()),
 ])
 
-RESPONSE_SCHEMA = "response array<variant>, paging struct<current: bigint>"
+RESPONSE_SCHEMA = "response variant, paging struct<current: bigint>"
 FAILFAST = {"mode": "FAILFAST"}
 
 
@@ -122,14 +122,24 @@ def _typed_fields(x: DataFrame, fields: list[tuple[str, str, str]], keep: list[C
     return looked.select(*[c for c in looked.columns if not c.startswith("_v_")], *out)
 
 
-def parse_response(docs: DataFrame) -> DataFrame:
+def parse_response(docs: DataFrame, strict: bool = True) -> DataFrame:
     """Parse each body once: ``_resp`` is the ``response`` array of variants and ``_page`` the page
-    of a paginated response (a ``page`` column wins over ``paging.current``); malformed JSON fails."""
+    of a paginated response (a ``page`` column wins over ``paging.current``).
+
+    Malformed JSON fails. A missing ``response`` gives no elements; in strict mode a JSON null
+    ``response`` fails, and so does a response that is not an array.
+    """
     parsed = docs.withColumn("_doc", F.from_json("body", RESPONSE_SCHEMA, FAILFAST))
+    resp = F.col("_doc.response")
+    if strict:
+        arr = F.when(F.is_variant_null(resp), F.raise_error(F.lit("feed response is null"))) \
+            .otherwise(F.variant_get(resp, "$", "array<variant>"))
+    else:
+        arr = F.try_variant_get(resp, "$", "array<variant>")
     page = F.col("_doc.paging.current")
     if "page" in docs.columns:
         page = F.coalesce(F.col("page"), page)
-    return parsed.withColumn("_resp", F.col("_doc.response")).withColumn("_page", page).drop("_doc")
+    return parsed.withColumn("_resp", arr).withColumn("_page", page).drop("_doc")
 
 
 def _explode(df: DataFrame, arr: Column, keep: list[str]) -> DataFrame:
@@ -172,7 +182,7 @@ def flatten_fixtures(docs: DataFrame, strict: bool = True) -> DataFrame:
 
     ``date`` and ``league_id`` are the request context; fixtures carry no season.
     """
-    x = _explode(parse_response(docs), F.col("_resp"), _ctx_cols(docs))
+    x = _explode(parse_response(docs, strict), F.col("_resp"), _ctx_cols(docs))
     keep = [F.col("league_id"), F.col("request_date").alias("date"), _seq(_seq_cols(docs))]
     return _typed_fields(x, FIXTURE_FIELDS, keep, strict).select(*FIXTURE_COLUMNS)
 
@@ -208,16 +218,28 @@ def flatten_standings(docs: DataFrame, strict: bool = True) -> DataFrame:
     """
     ctx = _ctx_cols(docs)
     r0 = first_block(F.col("_resp"), 0)
-    p = parse_response(docs).select(
-        *ctx, r0.alias("_r0"), F.variant_get(r0, STANDINGS_PATH[-1], "array<variant>").alias("_block"))
+    get_block = F.variant_get if strict else F.try_variant_get
+    p = parse_response(docs, strict).select(
+        *ctx, r0.alias("_r0"), get_block(r0, STANDINGS_PATH[-1], "array<variant>").alias("_block"))
     block = F.col("_block")
     if strict:
-        # Only a document without a first group needs the (costly) look along the path: a JSON
-        # null there fails, a missing key skips the document.
+        # Only a document without a first group is looked at along the path (a rare, costlier
+        # branch). A missing key or index skips the document. A null anywhere on the path fails,
+        # and so does a value that cannot be indexed the way the path needs (response[0] and
+        # league must be objects; standings must be an array, and an object there is a missing
+        # index); a first group that is not an array already failed the cast above.
         guard = F.when(block.isNotNull(), block)
-        for path in ("$",) + STANDINGS_PATH:
-            bad = F.is_variant_null(F.variant_get(F.col("_r0"), path, "variant"))
-            guard = guard.when(bad, F.raise_error(F.lit(f"null on the standings path at {path}")))
+        levels = [("$", "object"), ("$.league", "object"), ("$.league.standings", "array or object"),
+                  ("$.league.standings[0]", None)]
+        for path, kind in levels:
+            v = F.variant_get(F.col("_r0"), path, "variant")
+            guard = guard.when(F.is_variant_null(v), F.raise_error(F.lit(f"null on the standings path at {path}")))
+            if kind is not None:
+                ok = F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+                if kind != "object":
+                    ok = ok | F.try_variant_get(v, "$", "array<variant>").isNotNull()
+                guard = guard.when(v.isNotNull() & ~ok,
+                                   F.raise_error(F.lit(f"not an {kind} on the standings path at {path}")))
         block = guard.otherwise(F.lit(None))
     x = _explode(p, block, ctx)
     keep = [F.col("request_date").alias("snapshot_date"), F.col("league_id"), F.col("season"),
@@ -249,7 +271,7 @@ def flatten_players(docs: DataFrame, strict: bool = True) -> DataFrame:
     An element with an empty ``statistics`` array fails in strict mode (the first block is required).
     The payload spells the appearances key ``appearences``.
     """
-    x = _explode(parse_response(docs), F.col("_resp"), _ctx_cols(docs))
+    x = _explode(parse_response(docs, strict), F.col("_resp"), _ctx_cols(docs))
     keep = [F.col("request_date").alias("snapshot_date"), F.col("league_id"), F.col("season"),
             _seq(_seq_cols(docs))]
     return _typed_fields(x, PLAYER_FIELDS, keep, strict).select(*PLAYER_COLUMNS)

@@ -126,3 +126,17 @@ def test_strictness_does_not_depend_on_ansi_mode(spark):
             L.flatten_fixtures(docs(spark, [{"response": [bad]}])).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_response_shape_errors_fail_as_the_loader_would(spark):
+    with pytest.raises(Exception, match="feed response is null"):
+        L.flatten_fixtures(docs(spark, [{"response": None}])).collect()
+    with pytest.raises(Exception):
+        L.flatten_fixtures(docs(spark, [{"response": {"a": 1}}])).collect()
+    for body in ({"response": [1]}, {"response": [{"league": [1]}]}, {"response": [{"league": {"standings": 5}}]}):
+        with pytest.raises(Exception, match="on the standings path"):
+            L.flatten_standings(docs(spark, [body])).collect()
+    # an object where the standings array should be is a missing index: the document is skipped
+    assert L.flatten_standings(docs(spark, [{"response": [{"league": {"standings": {"a": 1}}}]}])).count() == 0
+    # non-strict mode never raises on shape
+    assert L.flatten_standings(docs(spark, [{"response": [1]}]), strict=False).count() == 0
