@@ -5,7 +5,7 @@ A landed feed is a DataFrame of documents, one JSON response per row:
     body string, request_date date, league_id bigint, season bigint [, page bigint]
 
 A paginated response carries its page in ``paging.current``; rows are ordered by
-(request_date, league_id, page, position), the order a row-by-row loader applies them.
+(request_date, league_id, page, landing file, position), the order a row-by-row loader applies them.
 
 The context columns are the request parameters (they are not in the payload). On storage the feed
 is text files under ``<root>/<feed>/request_date=.../league_id=.../season=...``, so the feed
@@ -61,12 +61,20 @@ def read_landed(spark: SparkSession, root: str, feed: str, day: dt.date | str |
     """
     reader = spark.read.format("text").schema(landed_text_schema()).option("basePath", f"{root}/{feed}")
     if day is None:
-        return reader.load(f"{root}/{feed}").withColumnRenamed("value", "body")
+        return with_landing_order(reader.load(f"{root}/{feed}"))
     from snapmart.sources.rawstore import path_exists
     path = f"{root}/{feed}/request_date={day}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], DOC_SCHEMA)
-    return reader.load(path).withColumnRenamed("value", "body")
+    return with_landing_order(reader.load(path))
+
+
+def with_landing_order(text: DataFrame) -> DataFrame:
+    """Landed text rows as documents, with ``_file`` = (file modification time, path): when the same
+    page of the same day and league is landed twice, the later landing is applied later."""
+    return text.select(F.col("value").alias("body"), "request_date", "league_id", "season",
+                       F.struct(F.col("_metadata.file_modification_time").alias("mtime"),
+                                F.col("_metadata.file_path").alias("path")).alias("_file"))
 
 
 def land(docs: DataFrame, root: str, feed: str) -> None:
@@ -151,12 +159,13 @@ def _seq(cols: list[str]) -> Column:
 
 
 def _ctx_cols(docs: DataFrame) -> list[str]:
-    return [c for c in ("request_date", "league_id", "season") if c in docs.columns] + ["_page"]
+    return [c for c in ("request_date", "league_id", "season", "_file") if c in docs.columns] + ["_page"]
 
 
 def _seq_cols(docs: DataFrame) -> list[str]:
-    """Batch order = the order a row loop meets the rows: day, league, page, position in the page."""
-    return [c for c in ("request_date", "league_id") if c in docs.columns] + ["_page", "_pos"]
+    """Batch order = the order a row loop meets the rows: day, league, page, (landing,) position."""
+    landing = ["_file"] if "_file" in docs.columns else []
+    return [c for c in ("request_date", "league_id") if c in docs.columns] + ["_page"] + landing + ["_pos"]
 
 
 # ------------------------------------------------------------------------------------------------

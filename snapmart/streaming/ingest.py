@@ -45,7 +45,7 @@ def stream_upsert(spark: SparkSession, landing_root: str, feed: str, table_path:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    docs = reader.load(f"{landing_root}/{feed}").withColumnRenamed("value", "body")
+    docs = L.with_landing_order(reader.load(f"{landing_root}/{feed}"))
     name = query_name or f"ingest_{spec.name}"
     applied = []
 

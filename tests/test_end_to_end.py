@@ -103,3 +103,16 @@ def test_command_line_load_and_build(spark, tmp_dir, capsys):
     assert main(["stream", "--landing", f"{tmp_dir}/l", "--raw", f"{tmp_dir}/raw2", "--feed", "players",
                  "--checkpoint", f"{tmp_dir}/ck"], spark=spark) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["batches_applied"] == 1
+
+
+def test_a_page_landed_again_later_wins(spark, tmp_dir):
+    import time
+    page = {"paging": {"current": 1}}
+    first = {**page, "response": [fixture(1, 33, 34, 1, 0, "FT")]}
+    corrected = {**page, "response": [fixture(1, 33, 34, 3, 0, "FT")]}
+    L.land(spark.createDataFrame([doc("2024-08-16", 39, first)], L.DOC_SCHEMA), f"{tmp_dir}/l", "fixtures")
+    time.sleep(1.1)  # landings are minutes apart in practice; keep the file times distinct here
+    L.land(spark.createDataFrame([doc("2024-08-16", 39, corrected)], L.DOC_SCHEMA), f"{tmp_dir}/l", "fixtures")
+    jobs.load_feed(spark, f"{tmp_dir}/l", f"{tmp_dir}/raw", "fixtures", "2024-08-17", dt.datetime(2024, 8, 17, 6))
+    rows = read_table(spark, f"{tmp_dir}/raw/raw_fixtures", RAW_FIXTURES).collect()
+    assert [(r.fixture_id, r.home_goals) for r in rows] == [(1, 3)]
