@@ -86,8 +86,9 @@ def build_from(raw_s: DataFrame, raw_p: DataFrame, out_root: str, run_ts: dt.dat
     if checks_first:
         C.assert_passed(report)
     dim = publish_version(marts.dim_teams(stg_s, stg_p, run_ts, labels), f"{out_root}/dim_teams", v)
-    fs = publish_version(marts.fact_standings(stg_s, dim), f"{out_root}/fact_standings", v, ["snapshot_date"])
-    fp = publish_version(marts.fact_player_stats(stg_p, dim), f"{out_root}/fact_player_stats", v,
+    dim_j = marts.sized_for_join(dim)  # the stored dimension, broadcast only if its size is checked small
+    fs = publish_version(marts.fact_standings(stg_s, dim_j), f"{out_root}/fact_standings", v, ["snapshot_date"])
+    fp = publish_version(marts.fact_player_stats(stg_p, dim_j), f"{out_root}/fact_player_stats", v,
                          ["snapshot_date"])
     if fail_on_check and not checks_first:
         C.assert_passed(report)

@@ -171,3 +171,14 @@ def test_models_prune_the_payload_and_push_filters_into_the_scan(spark, tmp_path
         scans = [line for line in plan.split("\n") if "FileScan parquet" in line]
         assert scans and all("raw_json" not in s for s in scans), plan
         assert all("IsNotNull(team_id)" in s and "IsNotNull(league_id)" in s for s in scans), plan
+
+
+def test_dimension_broadcast_only_behind_a_size_check(spark):
+    s = staging.stg_standings(standings(spark, [dict(team_id=1), dict(team_id=2)]))
+    p = staging.stg_players(players(spark, [{}]))
+    dim = marts.dim_teams(s, p, RUN)
+    small = marts.fact_standings(s, marts.sized_for_join(dim, max_rows=10))
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert marts.sized_for_join(dim, max_rows=1) is dim  # 2 rows > 1: no hint, AQE decides
+    assert marts.fact_standings(s, marts.sized_for_join(dim, max_rows=1)).count() == small.count() == 2
