@@ -40,7 +40,7 @@ DOC_SCHEMA = T.StructType([
     T.StructField("season", T.LongType()),
 ])
 
-RESPONSE_SCHEMA = "response variant, paging struct<current: bigint>"
+RESPONSE_SCHEMA = "response array<variant>, paging struct<current: bigint>"
 FAILFAST = {"mode": "FAILFAST"}
 
 
@@ -138,12 +138,13 @@ def parse_response(docs: DataFrame, strict: bool = True) -> DataFrame:
     ``response`` fails, and so does a response that is not an array.
     """
     parsed = docs.withColumn("_doc", F.from_json("body", RESPONSE_SCHEMA, FAILFAST))
-    resp = F.col("_doc.response")
+    arr = F.col("_doc.response")  # a response that is not an array already fails the parse
     if strict:
-        arr = F.when(F.is_variant_null(resp), F.raise_error(F.lit("feed response is null"))) \
-            .otherwise(F.variant_get(resp, "$", "array<variant>"))
-    else:
-        arr = F.try_variant_get(resp, "$", "array<variant>")
+        # NULL means missing (no rows) or a JSON null (fail). Only that rare branch parses the body
+        # a second time to tell the two apart.
+        is_null = F.is_variant_null(F.variant_get(F.parse_json("body"), "$.response", "variant"))
+        arr = F.when(arr.isNull(), F.when(is_null, F.raise_error(F.lit("feed response is null"))).otherwise(arr)) \
+            .otherwise(arr)
     page = F.col("_doc.paging.current")
     if "page" in docs.columns:
         page = F.coalesce(F.col("page"), page)
