@@ -103,3 +103,9 @@ def test_stream_in_bounded_micro_batches_with_archiving(spark, tmp_dir):
     assert [(r.player_id, r.goals) for r in rows] == [(1, 3)]  # landed last, applied last
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".txt")]
     assert len(archived) >= 2  # files of completed batches are moved out of the landing directory
+
+
+def test_cluster_settings_are_known_runtime_settings(spark):
+    from snapmart.session import CLUSTER_CONF
+    for key in CLUSTER_CONF:
+        assert spark.conf.isModifiable(key), key
