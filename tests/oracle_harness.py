@@ -30,6 +30,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "DateType()": "DATE", "TimestampNTZType()": "TIMESTAMP",
+                 "BooleanType()": "BOOLEAN"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -64,13 +69,19 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> dict:
     if sql is None:
         res["status"] = "rows-only"
         return res
-    cur = con.execute(sql)
-    dcols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = con.sql(sql)
+    dcols = list(rel.columns)
+    dtypes = dict(zip(dcols, (str(t) for t in rel.types)))
+    drows = rel.fetchall()
     res["oracle_rows"] = len(drows)
     if sorted(scols) != sorted(dcols):
         res["status"] = f"COLUMNS differ spark={scols} oracle={dcols}"
         return res
+    stypes = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in sdf.schema.fields}
+    bad_types = {c: (stypes[c], dtypes[c]) for c in scols if stypes[c] != dtypes[c]}
+    if bad_types:
+        res["status"] = f"TYPES differ {bad_types}"
+        return res
     a, b = _rows(scols, srows), _rows(dcols, drows)
     if a == b:
         res["status"] = "ok"
