@@ -86,3 +86,10 @@ def op8_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     from snapmart.llm.toxicity import toxicity
 
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from snapmart.llm.ngram_join import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir))
