@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from snapmart.llm.common import id_and_text, id_type, stored
 
-BLOCK_CHARS = 8_000_000
-PART_KEYS = 2_000_000
+BLOCK_CHARS = 2_000_000
+PART_KEYS = 1_000_000
 
 #: Fixed value: upper-case ASCII letters to lower case, on UTF-8 bytes.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
