@@ -93,3 +93,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from snapmart.llm.ngram_join import near_duplicates
 
     return near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from snapmart.llm.recompression import removed_repeats
+
+    return removed_repeats(documents(spark, sf_dir))
