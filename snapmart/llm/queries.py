@@ -48,6 +48,13 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.tiktoken"), split_pattern())
 
 
+@query
+def op4_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from snapmart.llm.katz import katz_scores
+
+    return katz_scores(documents(spark, sf_dir))
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from snapmart.llm.packing import pack
