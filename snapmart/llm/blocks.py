@@ -78,7 +78,8 @@ def chained(parts: list[np.ndarray], seed: int = 0) -> np.ndarray:
 
 # -- blocks --------------------------------------------------------------------------------------
 
-def to_blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def to_blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS,
+              level: int = 3) -> DataFrame:
     """(block, ids, sizes, texts): neighbouring documents of one task, their texts compressed. Stored, as
     all later steps rely on the same blocks. A document is never cut; a longer one is its own block."""
     spark_type = id_type(docs, id_col)
@@ -89,7 +90,7 @@ def to_blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int = BL
         kind = arrow_id
 
         def row() -> pa.RecordBatch:
-            texts = zstandard.ZstdCompressor(level=3).compress(b"".join(raws))
+            texts = zstandard.ZstdCompressor(level=level).compress(b"".join(raws))
             out = pa.RecordBatch.from_arrays(
                 [pa.array([next(number)], pa.int64()), pa.array([ids], pa.list_(kind)),
                  pa.array([pack(np.array([len(x) for x in raws], np.int64))]), pa.array([texts])],
@@ -128,11 +129,10 @@ def part_count(blocks: DataFrame, keys_a_char: float, part_keys: int = PART_KEYS
     return max(least, int(3 * chars * keys_a_char / part_keys) + 1)
 
 
-def part_edges(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Parts that sorted keys fall into, and where each one's keys start (with the end)."""
-    part = part_of(keys, parts)
+def part_edges(part: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The distinct parts of ascending part numbers, and where each one's keys start and end."""
     first = np.flatnonzero(np.diff(part, prepend=-1))
-    return part[first], np.append(first, len(keys))
+    return part[first], list(zip(first.tolist(), [*first[1:].tolist(), len(part)]))
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -140,19 +140,18 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def ask(blocks: DataFrame, asked: Callable[[dict], tuple[np.ndarray, list[bytes | np.ndarray]]], parts: int,
-        extra: int = 1) -> DataFrame:
-    """(block, part, keys, x0, x1, ...): ``asked`` gives a block's sorted distinct keys and ``extra`` columns
-    beside them. A block is passed as the dict of its row."""
+def ask(blocks: DataFrame, asked: Callable[[dict], tuple], parts: int, extra: int = 1) -> DataFrame:
+    """(block, part, keys, x0, x1, ...): ``asked`` gives a block's ascending keys and ``extra`` columns beside
+    them; if it gives part numbers as well, those ascend and keys ascend within a part. A block is passed
+    as the dict of its row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 block = {name: batch.column(i)[row].as_py() for i, name in enumerate(batch.schema.names)}
-                keys, columns = asked(block)
+                keys, columns, *own = asked(block)
                 if not len(keys):
                     continue
-                part, edge = part_edges(keys, parts)
-                cuts = list(zip(edge[:-1], edge[1:]))
+                part, cuts = part_edges(own[0] if own else part_of(keys, parts))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block["block"]] * len(part), pa.int64()), pa.array(part),
                      pa.array([pack_sorted(keys[a:b]) for a, b in cuts])]
