@@ -4,7 +4,7 @@ Run through spark-submit (or any launcher that provides the session configuratio
 taken with ``getOrCreate`` and never reconfigured here.
 
     python -m snapmart load --landing ROOT --raw ROOT --feed standings --run-date 2024-08-02
-    python -m snapmart build --raw ROOT --marts ROOT [--fail-on-check] [--checks-first]
+    python -m snapmart build --raw ROOT --marts ROOT [--report-only] [--checks-first]
     python -m snapmart stream --landing ROOT --raw ROOT --feed players --checkpoint DIR
 """
 
@@ -37,7 +37,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     bd = sub.add_parser("build", help="gate, staging, marts and column checks")
     bd.add_argument("--raw", required=True)
     bd.add_argument("--marts", required=True)
-    bd.add_argument("--fail-on-check", action="store_true")
+    bd.add_argument("--report-only", action="store_true", help="print failing checks without failing the build")
+    bd.add_argument("--fail-on-check", action="store_true", help="the default; kept for old schedules")
     bd.add_argument("--checks-first", action="store_true")
     sm = sub.add_parser("stream", help="ingest newly landed documents of one feed (availableNow)")
     sm.add_argument("--landing", required=True)
@@ -46,6 +47,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     sm.add_argument("--checkpoint", required=True)
     sm.add_argument("--max-files-per-trigger", type=int, default=None)
     sm.add_argument("--archive-dir", default=None)
+    sm.add_argument("--leagues", type=lambda s: [int(x) for x in s.split(",")], default=None)
+    sm.add_argument("--season", type=int, default=None)
     args = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName(f"snapmart-{args.cmd}").getOrCreate()
@@ -61,15 +64,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.cmd == "stream":
         from snapmart.streaming.ingest import stream_upsert
         spec, flatten, _ = jobs.FEEDS[args.feed]
+        kw = {k: v for k, v in (("leagues", args.leagues), ("season", args.season)) if v is not None}
         n = stream_upsert(spark, args.landing, args.feed, f"{args.raw}/{spec.name}", spec, flatten, args.checkpoint,
-                          max_files_per_trigger=args.max_files_per_trigger, archive_dir=args.archive_dir)
+                          max_files_per_trigger=args.max_files_per_trigger, archive_dir=args.archive_dir,
+                          select=lambda docs: jobs.selected(docs, **kw))
         print(json.dumps({"feed": args.feed, "batches_applied": n}))
         return 0
-    out = jobs.build(spark, args.raw, args.marts, _now(), fail_on_check=args.fail_on_check,
+    out = jobs.build(spark, args.raw, args.marts, _now(), fail_on_check=args.checks_first,
                      checks_first=args.checks_first)
     report = [r.asDict() for r in out["check_report"].collect()]  # 13 rows
     print(json.dumps({"checks": report}))
-    return 0 if all(r["passed"] for r in report) else 1
+    return 0 if args.report_only or all(r["passed"] for r in report) else 1
 
 
 if __name__ == "__main__":

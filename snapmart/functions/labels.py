@@ -2,7 +2,7 @@
 
 Two forms with the same semantics (unmatched or NULL id -> 'Unknown'):
 * ``league_case``: a CASE expression from a small fixed mapping (constant-folded, no join);
-* ``label_by_table``: a left join against a labels table, for catalogs too large for a CASE.
+* a labels table given to ``with_league_labels``: a left join, for catalogs too large for a CASE.
 """
 
 from __future__ import annotations
@@ -30,14 +30,16 @@ def with_league_labels(df: DataFrame, labels: Mapping[int, tuple[str, str]] | Da
                        league_col: str = "league_id") -> DataFrame:
     """Append league_name and country to ``df``.
 
-    ``labels`` is either a mapping (CASE) or a DataFrame (league_id, league_name, country) that is
-    unique on league_id. The join form is a left join, so rows never multiply or vanish; AQE
-    broadcasts the labels side only when its measured size is under the broadcast threshold.
+    ``labels`` is either a mapping (CASE) or a DataFrame (league_id, league_name, country). The join
+    form is a left join; a league_id that the labels hold twice fails the job instead of multiplying
+    rows. AQE broadcasts the labels side only when its measured size is under the broadcast threshold.
     """
     if isinstance(labels, DataFrame):
-        lab = labels.select(
-            F.col("league_id").alias("_lab_id"), F.col("league_name").alias("_lab_name"),
-            F.col("country").alias("_lab_country"))
+        twice = F.raise_error(F.concat(F.lit("labels hold this league_id twice: "), F.col("league_id").cast("string")))
+        lab = labels.where(F.col("league_id").isNotNull()).groupBy("league_id").agg(
+            F.count("*").alias("n"), F.first("league_name").alias("_lab_name"), F.first("country").alias("_lab_country"))
+        lab = lab.select(F.when(F.col("n") == 1, F.col("league_id")).otherwise(twice.cast(
+            labels.schema["league_id"].dataType)).alias("_lab_id"), "_lab_name", "_lab_country")
         out = df.join(lab, df[league_col] == lab["_lab_id"], "left")
         return (out.withColumn("league_name", F.coalesce("_lab_name", F.lit(UNKNOWN_LABEL)))
                    .withColumn("country", F.coalesce("_lab_country", F.lit(UNKNOWN_LABEL)))

@@ -13,18 +13,18 @@ The loop being replaced runs one ``MERGE ... ON key = key`` per batch row, in ba
 
 Plan: the batch is folded to one row per key with ``min_by``/``max_by`` over the batch order (a
 partial aggregate, so a hot key is pre-reduced on the map side), then full-outer-joined with the
-target on the keys. The folded side is already hash-partitioned on the keys, so only the target is
-shuffled. NULL-key rows of both sides bypass the join (they would all hash to one partition) and are
-unioned back.
+target on the keys. Each side is scanned once. NULL-key rows carry a value of their own beside the key,
+so they are spread over all tasks and never meet.
 
 ``upsert_table`` applies this to a partitioned Parquet table and rewrites only the partitions the
-batch touches (dynamic partition overwrite); see ``UpsertSpec.partition_by`` and
-``touched_partitions``.
+batch touches; see ``UpsertSpec.partition_by`` and ``touched_partitions``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -34,16 +34,13 @@ from pyspark.sql import types as T
 
 from snapmart.functions.clean import all_not_null, ntz_lit
 from snapmart.schemas import RAW_FIXTURES, RAW_PLAYERS, RAW_STANDINGS
-from snapmart.sources.rawstore import ensure_table, read_table, rebalanced
+from snapmart.sources.rawstore import (_fs, ensure_table, literal, partition_dir, path_exists, read_table,
+                                       rebalanced)
 
 LOAD_COL = "_loaded_at"
-# Above this many touched partitions the target is restricted by a semi-join instead of a literal
-# IN list (the list is the only thing collected to the driver, and it stays bounded: 10,000 days
-# is 27 years of daily partitions in about 80 KB).
-MAX_LISTED_PARTITIONS = 10000
-# A batch with at most this many distinct keys locates its stored rows through a pushed-down IN list.
-MAX_LISTED_KEYS = 10000
-
+SPREAD = "_spread"
+STAGED, INDEX, APPLIED = "_staged", "_index", "_applied"  # beside the partitions; names with an underscore are no table data
+INDEX_BUCKETS = 256
 
 @dataclass(frozen=True)
 class UpsertSpec:
@@ -89,13 +86,15 @@ def _seq_col(seq: str | Column) -> Column:
     return F.col(seq) if isinstance(seq, str) else seq
 
 
-def fold_batch(batch: DataFrame, spec: UpsertSpec, cols: list[str], seq: str | Column = "_seq") -> DataFrame:
-    """One row per (non-NULL) key: insert-only columns of the first row, update columns of the last.
+def fold_batch(batch: DataFrame, spec: UpsertSpec, cols: list[str], seq: str | Column = "_seq",
+               beside: Sequence[str] = ()) -> DataFrame:
+    """One row per key: insert-only columns of the first row, update columns of the last. Columns
+    ``beside`` the key tell rows apart that must not be folded.
 
     ``seq`` orders the batch (the order the loop would have applied it) and must be unique per key.
     """
-    keys = list(spec.keys)
-    ins = spec.insert_only(cols)
+    keys = [*spec.keys, *beside]
+    ins = [c for c in spec.insert_only(cols) if c not in beside]
     upd = [c for c in spec.update_cols if c in cols]
     order = _seq_col(seq)
     aggs = []
@@ -125,16 +124,16 @@ def upsert_df(target: DataFrame, batch: DataFrame, spec: UpsertSpec, load_ts: dt
     stamp = ntz_lit(load_ts)
     has_key = all_not_null(*keys)
 
-    t_keyed, t_nullkey = target.where(has_key), target.where(~has_key)
-    b = batch.select(*data_cols, _seq_col(seq).alias("_seq"))
-    b_keyed, b_nullkey = b.where(has_key), b.where(~has_key)
-
-    folded = fold_batch(b_keyed, spec, data_cols, "_seq")
-    t = t_keyed.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols if c not in keys],
-                       F.lit(True).alias("_in_t"))
+    # NULL-key rows never match. They stay in the same pass, spread by a value of their own: they neither
+    # merge in the fold nor meet in one task.
+    spread = F.when(has_key, F.lit(0)).otherwise(F.monotonically_increasing_id() + 1).alias(SPREAD)
+    b = batch.select(*data_cols, _seq_col(seq).alias("_seq"), spread)
+    folded = fold_batch(b, spec, data_cols, "_seq", [SPREAD])
+    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols if c not in keys],
+                      F.lit(True).alias("_in_t"), spread)
     f = folded.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in data_cols if c not in keys],
-                      F.lit(True).alias("_in_b"))
-    j = t.join(f, keys, "full_outer")
+                      F.lit(True).alias("_in_b"), SPREAD)
+    j = t.join(f, [*keys, SPREAD], "full_outer")
     in_t, in_b = F.col("_in_t").isNotNull(), F.col("_in_b").isNotNull()
     merged = {k: F.col(k) for k in keys}
     for c in ins:
@@ -142,124 +141,121 @@ def upsert_df(target: DataFrame, batch: DataFrame, spec: UpsertSpec, load_ts: dt
     for c in upd:
         merged[c] = F.when(in_b, F.col(f"_b_{c}")).otherwise(F.col(f"_t_{c}"))
     merged[LOAD_COL] = F.when(in_b, stamp).otherwise(F.col(f"_t_{LOAD_COL}"))
-    matched = j.select(*[merged[c].alias(c) for c in cols])
-
-    inserted_nullkey = b_nullkey.select(*[(stamp if c == LOAD_COL else F.col(c)).alias(c) for c in cols])
-    return matched.unionByName(t_nullkey.select(*cols)).unionByName(inserted_nullkey)
+    return j.select(*[merged[c].alias(c) for c in cols])
 
 
 # ------------------------------------------------------------------------------------------------
 # table form
 # ------------------------------------------------------------------------------------------------
 
-def touched_partitions(target: DataFrame | None, batch: DataFrame, spec: UpsertSpec) -> DataFrame:
+def touched_partitions(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertSpec) -> DataFrame:
     """Distinct storage-partition values the batch can touch.
 
     When the partition column is part of the key, a batch row can only meet rows of its own
     partition. Otherwise the partition column is insert-only, so a stored row never leaves the
     partition it was first written to: the batch's own values (new keys) plus the partitions where
-    its keys already live, found by a semi-join against a narrow (key, partition) scan of the target.
+    its keys already live, read from the key index.
     """
-    part = spec.partition_by
-    own = batch.select(part)
-    if part in spec.keys:
+    own = batch.select(spec.partition_by)
+    if spec.partition_by in spec.keys:
         return own.distinct()
-    keys = batch.select(*spec.keys).where(all_not_null(*spec.keys)).distinct()
-    stored = target.select(*spec.keys, part)
-    if len(spec.keys) == 1:
-        # A bounded key list is pushed into the scan: Parquet skips row groups whose min/max range
-        # holds none of the keys (a daily batch of new and recent fixtures touches few row groups).
-        listed = [r[0] for r in keys.limit(MAX_LISTED_KEYS + 1).collect()]
-        if len(listed) <= MAX_LISTED_KEYS:
-            located = stored.where(F.col(spec.keys[0]).isin(listed)).select(part)
-            return own.unionByName(located).distinct()
-    located = stored.join(keys, list(spec.keys), "left_semi").select(part)
-    return own.unionByName(located).distinct()
+    return own.unionByName(located(spark, path, batch, spec).select(spec.partition_by)).distinct()
+
+
+def index_rows(rows: DataFrame, spec: UpsertSpec) -> DataFrame:
+    bucket = F.pmod(F.xxhash64(*spec.keys), F.lit(INDEX_BUCKETS)).cast("int").alias("bucket")
+    keyed = rows.where(all_not_null(*spec.keys))
+    return keyed.select(*spec.keys, spec.partition_by, bucket).distinct()
+
+
+def key_index(spark: SparkSession, path: str, spec: UpsertSpec) -> DataFrame:
+    """(keys, partition) of all stored rows, partitioned by a hash of the key; built from the table once."""
+    where = f"{path}/{INDEX}"
+    schema = T.StructType([*[spec.schema[k] for k in spec.keys], spec.schema[spec.partition_by],
+                           T.StructField("bucket", T.IntegerType())])
+    if not path_exists(spark, f"{where}/_SUCCESS"):
+        rows = index_rows(read_table(spark, path, spec.schema), spec)
+        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(where)
+    return read_table(spark, where, schema)
+
+
+def located(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertSpec) -> DataFrame:
+    """Index rows of the batch's keys: only the index partitions of their hashes are read."""
+    wanted = index_rows(batch, spec)
+    buckets = [r[0] for r in wanted.select("bucket").distinct().collect()]  # at most INDEX_BUCKETS
+    found = key_index(spark, path, spec).where(F.col("bucket").isin(buckets))
+    return found.join(wanted.select(*spec.keys, "bucket"), [*spec.keys, "bucket"], "left_semi")
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertSpec,
-                 load_ts: dt.datetime, seq: str | Column = "_seq") -> int:
+                 load_ts: dt.datetime, seq: str | Column = "_seq", name: str | None = None) -> int:
     """Apply ``batch`` to the Parquet table at ``path``; returns the number of partitions rewritten.
 
-    Only partitions the batch can touch are read and rewritten (dynamic partition overwrite); the
-    rest of the table is not rewritten. The list of touched partition values is the only thing that
-    reaches the driver, and above MAX_LISTED_PARTITIONS it is replaced by a semi-join. An empty
-    batch returns before the table is touched. Commits of several partitions are not atomic on a
-    plain file system: single writer per table.
+    Only partitions the batch can touch are read and rewritten; what reaches the driver is their
+    names. An empty batch returns before the table is touched. Single writer per table.
+
+    The new partitions are staged beside the table and moved in once all are written. A run that dies
+    before that has changed nothing; one that dies while moving is completed by the next call, as the
+    staged copy is only removed when every partition is in place. A batch with a ``name`` is applied
+    once: its staged copy leaves a record, and a batch of that name is skipped from then on.
     """
     part = spec.partition_by
     if part is None or part in spec.update_cols:
         raise ValueError("the storage partition column must be a key or an insert-only column")
-    # The batch is read several times (touched partitions, keyed rows, NULL-key rows): keep it once.
+    finish_staged(spark, path)
+    if name is not None and path_exists(spark, f"{path}/{APPLIED}/{name}"):
+        return 0
+    # The batch is read several times (touched partitions, index, upsert): keep it once.
     # A lost executor's cached blocks are recomputed from the batch's (deterministic) lineage.
     b = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _upsert_into(spark, path, b, spec, load_ts, seq, part)
+        if b.isEmpty():
+            return 0
+        ensure_table(spark, path, spec.schema, [part])
+        touched = touched_partitions(spark, path, b, spec).select(F.col(part).cast("string").alias("v"))
+        names = [partition_dir(spark, part, r["v"]) for r in touched.distinct().collect()]
+        target = read_partitions(spark, path, spec, names)
+        if part not in spec.keys:  # before the rows are in place: an index may know more, never less
+            known = located(spark, path, b, spec).drop("bucket")
+            new = index_rows(b, spec).join(known, list(spec.keys), "left_anti")
+            new.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/{INDEX}")
+        merged = rebalanced(upsert_df(target, b, spec, load_ts, seq).select(*spec.columns), [part])
+        staged = f"{path}/{STAGED}/{name or uuid.uuid4().hex}"
+        merged.write.mode("overwrite").partitionBy(part).parquet(staged)
     finally:
         b.unpersist()
+    finish_staged(spark, path)
+    return len(names)
 
 
-HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def partition_dir(path: str, part: str, value) -> str | None:
-    """Directory of one partition value, for value types whose directory name needs no escaping."""
-    if value is None:
-        return f"{path}/{part}={HIVE_NULL_PARTITION}"
-    if isinstance(value, (dt.date, int)) and not isinstance(value, bool):
-        return f"{path}/{part}={value.isoformat() if isinstance(value, dt.date) else value}"
-    return None
-
-
-def _read_partitions(spark: SparkSession, path: str, spec: UpsertSpec, part: str, values: list) -> DataFrame | None:
-    """Read only the given partitions' directories; None when a value's directory name cannot be
-    formed, so the caller prunes through a filter instead.
-
-    The directories are one glob (``part={v1,v2,...}``): expanding it lists the table's top level
-    once, and only the matched directories' files are listed, never the table's whole history.
-    """
-    dirs = [partition_dir(path, part, v) for v in values]
-    if any(d is None for d in dirs):
-        return None
-    pattern = f"{path}/{{{','.join(d.rsplit('/', 1)[1] for d in dirs)}}}"
-    if not _glob_matches(spark, pattern):
+def read_partitions(spark: SparkSession, path: str, spec: UpsertSpec, names: list[str]) -> DataFrame:
+    """Only the named partition directories; each is looked up by itself, and only a directory that is
+    not there counts as empty."""
+    there = [f"{path}/{n}" for n in names if path_exists(spark, f"{path}/{n}")]
+    if not there:
         return spark.createDataFrame([], spec.schema)
-    return spark.read.schema(spec.schema).option("basePath", path).parquet(pattern).select(*spec.columns)
-
+    reader = spark.read.schema(spec.schema).option("basePath", path)
+    return reader.parquet(*map(literal, there)).select(*spec.columns)
 
-def _glob_matches(spark: SparkSession, pattern: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
-    return found is not None and len(found) > 0
 
+def finish_staged(spark: SparkSession, path: str) -> None:
+    """Move completely staged partitions into place, and drop staged ones that were never completed.
 
-def _upsert_into(spark, path, b, spec, load_ts, seq, part) -> int:
-    if b.isEmpty():
-        return 0
-    ensure_table(spark, path, spec.schema, [part])
-    # Creating a file-based DataFrame lists the table's files; when the partition column is in the
-    # key, the touched partitions come from the batch alone and the whole table is never listed.
-    key_part = part in spec.keys
-    whole = None if key_part else read_table(spark, path, spec.schema)
-    parts = touched_partitions(whole, b, spec)
-    touched = [r[0] for r in parts.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    target = None
-    if len(touched) <= MAX_LISTED_PARTITIONS:
-        if key_part:
-            target = _read_partitions(spark, path, spec, part, touched)
-        if target is None:
-            whole = whole if whole is not None else read_table(spark, path, spec.schema)
-            values = [v for v in touched if v is not None]
-            cond = F.col(part).isin(values) if values else F.lit(False)
-            if len(values) < len(touched):
-                cond = cond | F.col(part).isNull()
-            target = whole.where(cond)
-    else:
-        whole = whole if whole is not None else read_table(spark, path, spec.schema)
-        p = parts.select(F.col(part).alias("_p"))
-        target = whole.join(p, whole[part].eqNullSafe(p["_p"]), "left_semi")
-    merged = rebalanced(upsert_df(target, b, spec, load_ts, seq).select(*spec.columns), [part])
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(part).parquet(path))
-    return len(touched)
+    A partition is replaced by deleting it and renaming its staged copy, so a crash in between leaves the
+    copy, and moving goes on with what is still staged.
+    """
+    root, fs = _fs(spark, f"{path}/{STAGED}")
+    if not fs.exists(root):
+        return
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    table = new(path)
+    for staged in sorted(fs.listStatus(root), key=lambda s: s.getModificationTime()):
+        if fs.exists(new(staged.getPath(), "_SUCCESS")):
+            for d in fs.listStatus(staged.getPath()):
+                if d.isDirectory() and "=" in d.getPath().getName():
+                    place = new(table, d.getPath().getName())
+                    fs.delete(place, True)
+                    if not fs.rename(d.getPath(), place):
+                        raise OSError(f"could not move {d.getPath()} to {place}")
+            fs.mkdirs(new(new(table, APPLIED), staged.getPath().getName()))
+        fs.delete(staged.getPath(), True)

@@ -18,7 +18,7 @@ from snapmart.operators.upsert import FIXTURES, PLAYERS, STANDINGS, UpsertSpec,
 from snapmart.plans import marts, staging
 from snapmart.schemas import LEAGUE_IDS, LEAGUE_LABELS, RAW_PLAYERS, RAW_STANDINGS, SEASON
 from snapmart.sources import landing as L
-from snapmart.sources.rawstore import publish_version, read_table
+from snapmart.sources.rawstore import drop_old_versions, publish_version, read_table
 
 FEEDS: dict[str, tuple[UpsertSpec, object, int | None]] = {
     # feed: (table spec, flattener, days back from the run date; None = stamp the run date as snapshot)
@@ -28,13 +28,21 @@ FEEDS: dict[str, tuple[UpsertSpec, object, int | None]] = {
 }
 
 
+KEEP_VERSIONS = 3
+
+
+def selected(docs: DataFrame, leagues: Iterable[int] | DataFrame = LEAGUE_IDS,
+             season: int | None = SEASON) -> DataFrame:
+    """The documents of the loaded leagues and season, for the batch and the streaming path alike."""
+    d = L.select_leagues(docs, leagues)
+    return d if season is None else L.select_season(d, season)
+
+
 def feed_rows(docs: DataFrame, feed: str, run_date: dt.date | str,
               leagues: Iterable[int] | DataFrame = LEAGUE_IDS, season: int | None = SEASON) -> DataFrame:
     """The rows one run of ``feed`` loads: its leagues, season and day, flattened and stamped."""
     spec, flatten, days_back = FEEDS[feed]
-    d = L.select_leagues(docs, leagues)
-    if season is not None:
-        d = L.select_season(d, season)
+    d = selected(docs, leagues, season)
     if days_back is None:
         rows = L.stamp_snapshot(flatten(L.select_day(d, run_date, 0)), run_date)
     else:
@@ -55,7 +63,7 @@ def load_feed(spark: SparkSession, landing_root: str, raw_root: str, feed: str,
 
 def build(spark: SparkSession, raw_root: str, out_root: str, run_ts: dt.datetime,
           labels: Mapping[int, tuple[str, str]] | DataFrame = LEAGUE_LABELS,
-          fail_on_check: bool = False, checks_first: bool = False) -> dict[str, DataFrame]:
+          fail_on_check: bool = True, checks_first: bool = False) -> dict[str, DataFrame]:
     """Gate, staging, marts, checks. Returns the stored marts and the check report."""
     raw_s = read_table(spark, f"{raw_root}/{STANDINGS.name}", RAW_STANDINGS)
     C.require_rows(raw_s, "raw standings")
@@ -70,14 +78,15 @@ def build_version(run_ts: dt.datetime) -> str:
 
 def build_from(raw_s: DataFrame, raw_p: DataFrame, out_root: str, run_ts: dt.datetime,
                labels: Mapping[int, tuple[str, str]] | DataFrame = LEAGUE_LABELS,
-               fail_on_check: bool = False, checks_first: bool = False) -> dict[str, DataFrame]:
+               fail_on_check: bool = True, checks_first: bool = False) -> dict[str, DataFrame]:
     """Each mart is published as a new version (readers use ``rawstore.read_latest``), so a build
     that fails part-way leaves every mart at its previous complete version. The facts read the
     stored dimension, not the plan that built it.
 
-    By default the checks run after the marts are published, as in the job this replaces (a failing
-    check leaves the new marts visible). ``checks_first`` runs them on staging before anything is
-    written and raises before publishing.
+    The checks run after the marts are published and fail the build, as in the job this replaces (a
+    failing check leaves the new marts visible). ``checks_first`` runs them on staging before anything is
+    written; with ``fail_on_check`` off the report is only returned. Old versions but the last
+    ``KEEP_VERSIONS`` are dropped at the end.
     """
     v = build_version(run_ts)
     stg_s, stg_p = staging.stg_standings(raw_s), staging.stg_players(raw_p)
@@ -85,11 +94,13 @@ def build_from(raw_s: DataFrame, raw_p: DataFrame, out_root: str, run_ts: dt.dat
                              ("stg_standings", stg_s, C.STG_STANDINGS_CHECKS)])
     if checks_first:
         C.assert_passed(report)
+    # the facts join the stored dimension: AQE measures it and broadcasts it only if it is small
     dim = publish_version(marts.dim_teams(stg_s, stg_p, run_ts, labels), f"{out_root}/dim_teams", v)
-    dim_j = marts.sized_for_join(dim)  # the stored dimension, broadcast only if its size is checked small
-    fs = publish_version(marts.fact_standings(stg_s, dim_j), f"{out_root}/fact_standings", v, ["snapshot_date"])
-    fp = publish_version(marts.fact_player_stats(stg_p, dim_j), f"{out_root}/fact_player_stats", v,
+    fs = publish_version(marts.fact_standings(stg_s, dim), f"{out_root}/fact_standings", v, ["snapshot_date"])
+    fp = publish_version(marts.fact_player_stats(stg_p, dim), f"{out_root}/fact_player_stats", v,
                          ["snapshot_date"])
     if fail_on_check and not checks_first:
         C.assert_passed(report)
+    for mart in ("dim_teams", "fact_standings", "fact_player_stats"):
+        drop_old_versions(dim.sparkSession, f"{out_root}/{mart}", KEEP_VERSIONS)
     return {"dim_teams": dim, "fact_standings": fs, "fact_player_stats": fp, "check_report": report}

@@ -55,23 +55,6 @@ def dim_from_teams(teams: DataFrame, created_at: dt.datetime,
         *TEAM_COLS, "league_name", "country", ntz_lit(created_at).alias("_created_at"))
 
 
-# A dimension of at most this many rows (about 64 bytes each in memory) may be broadcast.
-MAX_BROADCAST_DIM_ROWS = 1_000_000
-
-
-def sized_for_join(dim: DataFrame, max_rows: int | None = MAX_BROADCAST_DIM_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only after checking its size; otherwise leave the choice to AQE.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan), so it stays cheap on
-    a stored dimension however large it grows. Beyond the bound the join is a plain equi-join:
-    sort-merge with AQE's skew handling, or a broadcast if AQE measures the side as small.
-    """
-    if max_rows is None:
-        return dim
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def _dim_side(dim: DataFrame) -> DataFrame:
     return dim.select(
         F.col("team_id").alias("_d_team_id"), F.col("league_id").alias("_d_league_id"),

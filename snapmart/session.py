@@ -37,18 +37,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or else by the context's checkpoint folder.
 
-    On a cluster this setting names shared storage and is read as it is. Only when
-    it is unset (local tests) a fresh temporary folder is chosen and set.
+    A local session without either gets a temporary folder of its own. On a cluster a machine-local
+    folder would be lost to the other machines, so there an unset folder is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not root:
-        root = tempfile.mkdtemp(prefix="snapmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="snapmart-ckpt-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 

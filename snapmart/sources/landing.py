@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.functions.clean import ntz_lit
+from snapmart.sources.rawstore import literal, path_exists
 
 DOC_SCHEMA = T.StructType([
     T.StructField("body", T.StringType()),
@@ -61,20 +62,26 @@ def read_landed(spark: SparkSession, root: str, feed: str, day: dt.date | str |
     """
     reader = spark.read.format("text").schema(landed_text_schema()).option("basePath", f"{root}/{feed}")
     if day is None:
-        return with_landing_order(reader.load(f"{root}/{feed}"))
-    from snapmart.sources.rawstore import path_exists
+        return number_lines(with_landing_order(reader.load(literal(f"{root}/{feed}"))))
     path = f"{root}/{feed}/request_date={day}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], DOC_SCHEMA)
-    return with_landing_order(reader.load(path))
+    return number_lines(with_landing_order(reader.load(literal(path))))
 
 
 def with_landing_order(text: DataFrame) -> DataFrame:
-    """Landed text rows as documents, with ``_file`` = (file modification time, path): when the same
-    page of the same day and league is landed twice, the later landing is applied later."""
+    """Landed text rows as documents, with ``_file`` = (file modification time, path, block): when the
+    same page of the same day and league is landed twice, the later landing is applied later. With
+    ``number_lines`` the lines of one file are applied in their order."""
     return text.select(F.col("value").alias("body"), "request_date", "league_id", "season",
                        F.struct(F.col("_metadata.file_modification_time").alias("mtime"),
-                                F.col("_metadata.file_path").alias("path")).alias("_file"))
+                                F.col("_metadata.file_path").alias("path"),
+                                F.col("_metadata.file_block_start").alias("block")).alias("_file"))
+
+
+def number_lines(docs: DataFrame) -> DataFrame:
+    """Adds each document's line, in order within its file, to ``_file`` (before anything is shuffled)."""
+    return docs.withColumn("_file", F.col("_file").withField("line", F.monotonically_increasing_id()))
 
 
 def land(docs: DataFrame, root: str, feed: str) -> None:

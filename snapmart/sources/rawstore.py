@@ -1,4 +1,4 @@
-"""Typed Parquet tables: ensure, read, materialise.
+"""Typed Parquet tables: ensure, read, append, publish versions.
 
 Tables are plain Parquet directories read with an explicit schema (no inference). Partitioned
 tables list their partition columns in ``partition_by``; readers prune on them.
@@ -6,19 +6,35 @@ tables list their partition columns in ``partition_by``; readers prune on them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
     return bool(fs.exists(p))
 
 
+def literal(path: str) -> str:
+    """A path as Spark's readers take it literally: they would expand glob characters in it."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def partition_dir(spark: SparkSession, column: str, value: str | None) -> str:
+    """Directory name Spark writes for a partition value (given as Spark's own string of it)."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return str(utils.getPartitionPathString(column, value))
+
+
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
                  partition_by: Sequence[str] = ()) -> bool:
     """Create an empty typed table if none exists; an existing table is never altered.
@@ -37,7 +53,7 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Full typed scan (filters and projections applied later reach the Parquet reader)."""
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    return spark.read.schema(schema).parquet(literal(path)).select(*schema.fieldNames())
 
 
 def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -57,46 +73,29 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     w.parquet(path)
 
 
-def materialize_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Full rebuild (overwrite) of a mart table, then a fresh read of what was written.
-
-    Reading back cuts the lineage: consumers scan the stored table, not the plan that built it.
-    """
-    w = rebalanced(df, partition_by).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
 # ------------------------------------------------------------------------------------------------
 # versioned tables: a rebuild never exposes a half-written table
 # ------------------------------------------------------------------------------------------------
 # A full rebuild writes a new version directory under <path>/_versions/. Spark's job commit writes
 # _SUCCESS into it last, so a version is complete exactly when _SUCCESS exists. Readers take the
-# newest complete version; a job that dies mid-write leaves the previous version in place. Version
-# names sort in time order (zero-padded build time plus a unique suffix).
+# version committed last, so a rebuild of an older run is read once it is published; a job that dies
+# mid-write leaves the previous version in place. Names (build time, unique suffix) only break ties.
 
 VERSIONS_DIR = "_versions"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def complete_versions(spark: SparkSession, path: str) -> list[str]:
-    """Names of the committed versions of a versioned table, oldest first."""
+    """Names of the committed versions of a versioned table, in the order they were committed."""
     root, fs = _fs(spark, f"{path}/{VERSIONS_DIR}")
     if not fs.exists(root):
         return []
     jvm = spark.sparkContext._jvm
-    names = []
+    found = []
     for st in fs.listStatus(root):
-        if st.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            names.append(st.getPath().getName())
-    return sorted(names)
+        done = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
+        if st.isDirectory() and fs.exists(done):
+            found.append((fs.getFileStatus(done).getModificationTime(), st.getPath().getName()))
+    return [name for _, name in sorted(found)]
 
 
 def publish_version(df: DataFrame, path: str, version: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -106,7 +105,7 @@ def publish_version(df: DataFrame, path: str, version: str, partition_by: Sequen
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(literal(target)).select(*df.columns)
 
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

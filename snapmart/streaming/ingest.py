@@ -5,63 +5,70 @@ documents that arrived since the previous run, and the checkpoint records which
 so it plays the role of the ingest watermark. Each micro-batch is flattened and upserted into the
 RAW table with ``upsert_table`` (partition-local rewrite).
 
-Exactly-once: a micro-batch that is replayed after a failure (same batch id) is skipped when its
-commit marker already exists next to the table, so NULL-key rows are not inserted twice by a retry.
-A deliberate re-landing of the same documents is new input and is applied again, as the row-by-row
-loop would.
+Exactly-once: a micro-batch's rows and the record that it was applied are one act of ``upsert_table``,
+named by the query's own id (kept in its checkpoint) and the batch id. A batch that is replayed after a
+failure is skipped or completed, never applied twice; a new checkpoint is a new query and shares no
+names with an older one. Landed files never expire: however old their modification time, they are
+read once. A deliberate re-landing of the same documents is new input and is applied again, as the
+row-by-row loop would.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from snapmart.operators.upsert import UpsertSpec, upsert_table
 from snapmart.sources import landing as L
-from snapmart.sources.rawstore import path_exists
+from snapmart.sources.rawstore import literal
 
 
-def _marker(table_path: str, query_name: str, batch_id: int) -> str:
-    return f"{table_path}/_commits/{query_name}/batch={batch_id}"
+#: The file source drops files this much older than the newest one; no landed file may be dropped.
+MAX_FILE_AGE = "36500d"
 
 
 def stream_upsert(spark: SparkSession, landing_root: str, feed: str, table_path: str, spec: UpsertSpec,
                   flatten: Callable[[DataFrame], DataFrame], checkpoint: str,
                   load_ts: dt.datetime | None = None, query_name: str | None = None,
-                  max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> int:
+                  max_files_per_trigger: int | None = None, archive_dir: str | None = None,
+                  select: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Run one availableNow pass over the landing directory; returns the number of batches applied.
 
+    ``select`` keeps the documents a run loads (the leagues and season of the batch path); none keeps all.
     ``max_files_per_trigger`` bounds each micro-batch (files are taken oldest first, so later
     landings still win). ``archive_dir`` moves consumed files out of the landing directory, which
     keeps the per-trigger listing small after years of landings; leave it unset when batch loads
     read the same landing directory.
     """
-    reader = spark.readStream.format("text").schema(L.landed_text_schema())
+    reader = spark.readStream.format("text").schema(L.landed_text_schema()).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    docs = L.with_landing_order(reader.load(f"{landing_root}/{feed}"))
+    docs = L.with_landing_order(reader.load(literal(f"{landing_root}/{feed}")))
     name = query_name or f"ingest_{spec.name}"
     applied = []
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        marker = _marker(table_path, name, batch_id)
-        if path_exists(spark, marker):
-            return
         ts = load_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        upsert_table(spark, table_path, flatten(batch), spec, ts)
-        spark.range(1).select(F.lit(batch_id).alias("batch_id")).write.mode("overwrite").parquet(marker)
-        applied.append(batch_id)
+        batch = L.number_lines(batch)
+        rows = flatten(select(batch) if select else batch)
+        if upsert_table(spark, table_path, rows, spec, ts, name=f"{query_id(spark, checkpoint)}-{batch_id}"):
+            applied.append(batch_id)
 
-    # the marker name is stable across runs; the query name only has to be unique while it runs
+    # the query name only has to be unique while it runs
     q = (docs.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).queryName(f"{name}-{uuid.uuid4().hex[:8]}").start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return len(applied)
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the query when it made this checkpoint."""
+    return json.loads(spark.read.text(literal(f"{checkpoint}/metadata")).first()[0])["id"]

@@ -38,7 +38,10 @@ def test_gate_and_failing_build(spark, tmp_dir):
     empty = standings(spark, []).limit(0)
     with pytest.raises(C.CheckFailed):
         C.require_rows(empty, "raw standings")
-    out = jobs.build_from(standings(spark, [dict(league_id=7)]), players(spark, [{}]), tmp_dir, T0)
+    with pytest.raises(C.CheckFailed):  # a failing check fails the build unless only the report is wanted
+        jobs.build_from(standings(spark, [dict(league_id=7)]), players(spark, [{}]), f"{tmp_dir}/a", T0)
+    out = jobs.build_from(standings(spark, [dict(league_id=7)]), players(spark, [{}]), tmp_dir, T0,
+                          fail_on_check=False)
     assert out["fact_standings"].count() == 1
     with pytest.raises(C.CheckFailed):
         C.assert_passed(out["check_report"])

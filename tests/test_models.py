@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 
+import pytest
 from conftest import T0, d
 from pyspark.sql import functions as F
 
@@ -173,12 +174,16 @@ def test_models_prune_the_payload_and_push_filters_into_the_scan(spark, tmp_path
         assert all("IsNotNull(team_id)" in s and "IsNotNull(league_id)" in s for s in scans), plan
 
 
-def test_dimension_broadcast_only_behind_a_size_check(spark):
+def test_fact_join_leaves_the_broadcast_to_measured_sizes(spark):
     s = staging.stg_standings(standings(spark, [dict(team_id=1), dict(team_id=2)]))
     p = staging.stg_players(players(spark, [{}]))
-    dim = marts.dim_teams(s, p, RUN)
-    small = marts.fact_standings(s, marts.sized_for_join(dim, max_rows=10))
-    plan = small._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert marts.sized_for_join(dim, max_rows=1) is dim  # 2 rows > 1: no hint, AQE decides
-    assert marts.fact_standings(s, marts.sized_for_join(dim, max_rows=1)).count() == small.count() == 2
+    fact = marts.fact_standings(s, marts.dim_teams(s, p, RUN))
+    assert "hint" not in fact._jdf.queryExecution().analyzed().toString().lower()
+    assert fact.count() == 2
+
+
+def test_labels_that_hold_an_id_twice_fail_the_job(spark):
+    labels = spark.createDataFrame([(39, "A", "X"), (39, "B", "Y")], "league_id bigint, league_name string, country string")
+    s = staging.stg_standings(standings(spark, [dict(team_id=1)]))
+    with pytest.raises(Exception, match="twice"):
+        marts.dim_teams(s, staging.stg_players(players(spark, [{}])), RUN, labels).collect()

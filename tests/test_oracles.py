@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as E
 from oracle_harness import compare, duck
+from snapmart.plans import suite
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+suite.load_all()
+QUERIES = {name: fn for name, fn in E.queries().items() if name in suite.QUERIES}
+ORACLES = {name: sql for name, sql in E.oracle_sql().items() if name in suite.QUERIES}
 
 
 @pytest.fixture(scope="module")
