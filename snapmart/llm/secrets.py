@@ -9,8 +9,8 @@ one's is near zero.
 How near depends on the length: short words look random more often. So long words without digits, all
 over the corpus, serve as the null: read as symbols of each alphabet they give, per encoding and length
 class, how often ordinary text reaches a p-value. The lowest p-value limit that keeps the expected share
-of false discoveries in that class under ``FDR`` is its limit; a class without one adds nothing. These
-counts cover all documents and come to the driver as one bounded histogram.
+of false discoveries in that class under ``FDR`` is its limit, but never one that a random token would
+rarely reach; a class without one adds nothing. These counts cover all documents and come to the driver as one bounded histogram.
 
 Defined results: null and empty texts have no spans; digests are of the empty string.
 """
@@ -53,6 +53,7 @@ ALPHABETS = (
 LENGTHS = (19, 23, 31, 47, 63, 127)
 P_BINS = 48  # of a quarter of a decade of p
 FDR = 0.05
+LEAST_BIN = 8  # a discovery must also pass as random itself: p of 0.01 or more
 MAX_SYMBOLS = 4096  # symbols of a token that the tests look at; longer tokens are judged by evenly spread ones
 
 COLUMNS = ("n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, base array<struct<start:int,"
@@ -239,8 +240,11 @@ def discovery_limits(scanned: DataFrame, fdr: float) -> list[int]:
 
 
 def limits_of(tested: np.ndarray, ordinary: np.ndarray, fdr: float) -> list[int]:
+    # a class's null holds the shorter ordinary words too: they look random more often, so it errs on the safe
+    # side, and classes of rare long words have one
+    ordinary = ordinary.reshape(len(ALPHABETS), -1, P_BINS).cumsum(1).reshape(ordinary.shape)
     found, usual = tested.cumsum(1), ordinary.cumsum(1)
     # the null share is taken as 1: every tested token might be ordinary
     expected = found[:, -1:] * (usual + 1) / (usual[:, -1:] + 1)
     good = (found > 0) & (expected <= fdr * found)
-    return [int(np.flatnonzero(g)[-1]) if g.any() else -1 for g in good]
+    return [min(int(np.flatnonzero(g)[-1]), LEAST_BIN - 1) if g.any() else -1 for g in good]
