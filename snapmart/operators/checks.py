@@ -107,7 +107,7 @@ def relationship(child: DataFrame, parent: DataFrame, keys: Sequence[str], model
     nn = F.lit(True)
     for k in keys:
         nn = nn & F.col(k).isNotNull()
-    orphans = child.select(*keys).where(nn).join(parent.select(*keys).distinct(), list(keys), "left_anti")
+    orphans = child.select(*keys).where(nn).join(parent.select(*keys), list(keys), "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(model).alias("model"), F.lit(",".join(keys)).alias("column"),
         F.lit("relationship").alias("check"), F.col("failures"), (F.col("failures") == 0).alias("passed"))

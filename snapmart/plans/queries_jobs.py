@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from snapmart.operators import checks as C
 from snapmart.operators import upsert as U
 from snapmart.plans import analogs as A
 from snapmart.plans import jobs
@@ -14,14 +17,26 @@ from snapmart.sources.rawstore import read_table
 from snapmart.streaming.ingest import stream_upsert
 
 
-@register("build_marts", Q.ctes(RS, RP, STG_S, STG_P, LABELS, DIM, body=Q.fact_standings_sql("stg_s", "dim")))
+_REPORT_SQL = Q.with_passed(Q.checks_sql("stg_players", "stg_p", C.STG_PLAYERS_CHECKS)
+                            + "\n    UNION ALL " + Q.checks_sql("stg_standings", "stg_s", C.STG_STANDINGS_CHECKS))
+
+
+def _count_sql(name):
+    return f"(SELECT CAST(count(*) AS BIGINT) FROM {name}) AS {name}_rows"
+
+
+@register("build_marts", Q.ctes(
+    RS, RP, STG_S, STG_P, LABELS, DIM, ("fact_s", Q.fact_standings_sql("stg_s", "dim")),
+    ("fact_p", Q.fact_player_stats_sql("stg_p", "dim")), ("rep", _REPORT_SQL),
+    body=f"SELECT rep.*, {_count_sql('dim')}, {_count_sql('fact_s')}, {_count_sql('fact_p')} FROM rep"))
 def q_build_marts(spark, root):
-    """Gate -> staging -> dim (stored) -> facts (stored, read back) -> checks, in layer order."""
+    """Gate -> staging -> dim (stored) -> facts (stored, read back) -> checks, in layer order: the check
+    report beside the row counts of the three published marts."""
     t = A.Tables(spark, root)
     out = jobs.build_from(A.raw_standings(t), A.raw_players(t), scratch_path(spark, "marts"), A.RUN_TS,
                           labels=A.nation_labels(t), fail_on_check=False)
-    out["check_report"].count()
-    return out["fact_standings"]
+    counts = {"dim_rows": "dim_teams", "fact_s_rows": "fact_standings", "fact_p_rows": "fact_player_stats"}
+    return out["check_report"].withColumns({c: F.lit(out[mart].count()).cast("bigint") for c, mart in counts.items()})
 
 
 _PLY = [c for c in U.PLAYERS.columns if c != "raw_json"]

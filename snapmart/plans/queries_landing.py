@@ -112,7 +112,7 @@ def q_require_paths(spark, root):
 # ---- S5-S7 feed selection ------------------------------------------------------------------------
 
 LEAGUE_REGION = 1
-SEASON_ANALOG = 2024
+SEASON_ANALOG = 1995
 RUN_DATE = "1998-08-03"
 
 
@@ -129,11 +129,12 @@ def q_feed_by_league(spark, root):
 
 
 @register("feed_by_season", f"""
-    SELECT snapshot_date, league_id, player_id, goals FROM ({A.raw_players_sql()})
+    SELECT snapshot_date, league_id, team_id, points FROM ({A.raw_standings_sql()})
     WHERE season = {SEASON_ANALOG}""")
 def q_feed_by_season(spark, root):
-    docs = L.select_season(A.players_feed(_t(spark, root)), SEASON_ANALOG)
-    return L.flatten_players(docs).select("snapshot_date", "league_id", "player_id", "goals")
+    """One of the seven seasons of the standings feed."""
+    docs = L.select_season(A.standings_feed(_t(spark, root)), SEASON_ANALOG)
+    return L.flatten_standings(docs).select("snapshot_date", "league_id", "team_id", "points")
 
 
 @register("feed_by_day", f"""

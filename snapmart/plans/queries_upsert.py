@@ -126,11 +126,17 @@ def q_upsert_null_key(spark, root):
     return twice.groupBy(nk.alias("null_key"), "_loaded_at").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("upsert_empty", A.players_target_sql())
+@register("upsert_empty", f"SELECT {', '.join(PLY_COLS)} FROM ({A.raw_players_sql()})")
 def q_upsert_empty(spark, root):
-    """An empty batch leaves the target exactly as it was."""
+    """Table form: an empty batch leaves the whole stored table exactly as it was."""
     t = A.Tables(spark, root)
-    return U.upsert_df(A.players_target(t), A.players_batch(t).where(F.lit(False)), U.PLAYERS, A.T1)
+    path = scratch_path(spark, "raw_players")
+    spec = U.UpsertSpec("raw_players_analog", _analog_schema(U.PLAYERS, PLY_COLS), U.PLAYERS.keys,
+                        tuple(PLY_UPD), partition_by="snapshot_date")
+    append_table(A.raw_players(t).select(*PLY_COLS), path, ["snapshot_date"])
+    if U.upsert_table(spark, path, A.players_batch(t).where(F.lit(False)), spec, A.T1):
+        raise AssertionError("an empty batch rewrote partitions")
+    return read_table(spark, path, spec.schema)
 
 
 @register("upsert_rerun", _PLY_TWICE)
