@@ -66,7 +66,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from snapmart.llm.exact_dedup import exact_groups
 
-    return exact_groups(documents(spark, sf_dir))
+    return exact_groups(documents(spark, sf_dir)).drop("bucket", "chain")
 
 
 ORACLES["op6_exact_dedup"] = """
@@ -107,3 +107,50 @@ def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     from snapmart.llm.recompression import removed_repeats
 
     return removed_repeats(documents(spark, sf_dir))
+
+
+ORACLES["op9_recompression"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w)
+), first AS (
+  SELECT k, min(doc_id) AS d FROM win GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM win JOIN first USING (k) WHERE d < doc_id
+), words AS (
+  SELECT doc_id, i, ws[i] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op10_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id
+  WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reached AS (
+  SELECT doc_id, doc_id AS r FROM w
+  UNION
+  SELECT y, r FROM reached JOIN links ON doc_id = x
+)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
