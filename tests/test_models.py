@@ -187,3 +187,14 @@ def test_labels_that_hold_an_id_twice_fail_the_job(spark):
     s = staging.stg_standings(standings(spark, [dict(team_id=1)]))
     with pytest.raises(Exception, match="twice"):
         marts.dim_teams(s, staging.stg_players(players(spark, [{}])), RUN, labels).collect()
+
+
+def test_models_have_their_declared_columns_and_types(spark):
+    from snapmart import schemas as S
+    from snapmart.operators import checks as C
+
+    stg_s, stg_p = staging.stg_standings(standings(spark, [{}])), staging.stg_players(players(spark, [{}]))
+    report = C.check_report([("stg_players", stg_p, C.STG_PLAYERS_CHECKS)])
+    for df, declared in ((stg_s, S.STG_STANDINGS), (stg_p, S.STG_PLAYERS),
+                         (marts.dim_teams(stg_s, stg_p, RUN), S.DIM_TEAMS), (report, S.CHECK_REPORT)):
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in declared]
