@@ -15,6 +15,7 @@ network and only pattern spans are returned.
 from __future__ import annotations
 
 import bisect
+import itertools
 import random
 import re
 from collections.abc import Iterator
@@ -58,7 +59,7 @@ def base_spans(text: str) -> list[Span]:
         for i in range(0, len(parts) - 3, 4):
             four = parts[i:i + 4]
             end = start + sum(map(len, four)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four):
+            if all(len(p := x.lstrip("0")) <= 3 and int(p or 0) <= 255 for x in four):
                 spans.append((1, start, end))
             start = end + 1
     for m in CARD.finditer(text):
@@ -212,17 +213,17 @@ def network_spans(model: dict, texts: list[str], base: list[list[Span]]) -> list
     for row, spans in found.items():
         text = texts[row]
         taken = sorted((s, e) for _, s, e in base[row])
-        starts = [s for s, _ in taken]
+        starts, reach = [s for s, _ in taken], list(itertools.accumulate((e for _, e in taken), max))
         free = [(e, s, k, w) for (k, s, e), w in spans.items()
-                if valid(k, text[s:e]) and not touches(s, e, taken, starts)]
+                if valid(k, text[s:e]) and not touches(s, e, starts, reach)]
         out[row] = schedule(free)
     return out
 
 
-def touches(start: int, end: int, taken: list[tuple[int, int]], starts: list[int]) -> bool:
-    """Pattern spans of different kinds may overlap, so look back over the few that reach this far."""
+def touches(start: int, end: int, starts: list[int], reach: list[int]) -> bool:
+    """Whether a pattern span overlaps: of those that start before ``end``, the furthest end (``reach``) tells."""
     i = bisect.bisect_left(starts, end)
-    return any(e > start for _, e in taken[max(0, i - 8):i])
+    return i > 0 and reach[i - 1] > start
 
 
 def runs(path: np.ndarray) -> Iterator[Span]:

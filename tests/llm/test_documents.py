@@ -108,6 +108,19 @@ def test_pattern_spans_are_linear_in_long_runs():
         pii.base_spans(text)  # quadratic searches would take minutes here
 
 
+def test_dotted_numbers_may_have_any_number_of_leading_zeros():
+    zeros = "0" * 5000  # more digits than int() takes
+    assert pii.base_spans(f"{zeros}1.2.3.4") == [(1, 0, 5007)]
+    assert [s for s in pii.base_spans(f"1.2.3.{zeros}256") if s[0] == 1] == []
+
+
+def test_a_long_pattern_span_is_touched_beyond_many_short_ones():
+    taken = sorted([(0, 500), *((i * 10, i * 10 + 7) for i in range(1, 30))])
+    starts, reach = [s for s, _ in taken], [500] * len(taken)
+    assert pii.touches(400, 410, starts, reach) and not pii.touches(500, 510, starts, reach)
+    assert not pii.touches(0, 5, [], [])
+
+
 def test_crf_gradients_are_those_of_its_loss():
     rng = np.random.default_rng(1)
     scores, trans = rng.standard_normal((4, 2, 3)), rng.standard_normal((3, 3))
