@@ -34,6 +34,9 @@ KEEP_VERSIONS = 3
 def selected(docs: DataFrame, leagues: Iterable[int] | DataFrame = LEAGUE_IDS,
              season: int | None = SEASON) -> DataFrame:
     """The documents of the loaded leagues and season, for the batch and the streaming path alike."""
+    if not isinstance(leagues, DataFrame):
+        leagues = list(leagues)
+        docs = L.number_leagues(docs, leagues)
     d = L.select_leagues(docs, leagues)
     return d if season is None else L.select_season(d, season)
 
@@ -52,11 +55,11 @@ def feed_rows(docs: DataFrame, feed: str, run_date: dt.date | str,
 
 def load_feed(spark: SparkSession, landing_root: str, raw_root: str, feed: str, run_date: dt.date | str,
               load_ts: dt.datetime, leagues: Iterable[int] | DataFrame = LEAGUE_IDS,
-              season: int | None = SEASON) -> int:
+              season: int | None = SEASON, whole_files: bool = False) -> int:
     """Extract-and-load of one feed for one run; returns the number of RAW partitions rewritten."""
     spec, _, days_back = FEEDS[feed]
     day = dt.date.fromisoformat(str(run_date)) - dt.timedelta(days=days_back or 0)
-    docs = L.read_landed(spark, landing_root, feed, day=day)
+    docs = L.read_landed(spark, landing_root, feed, day=day, whole_files=whole_files)
     rows = feed_rows(docs, feed, run_date, leagues, season)
     return upsert_table(spark, f"{raw_root}/{spec.name}", rows, spec, load_ts)
 

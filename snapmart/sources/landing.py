@@ -25,7 +25,7 @@ Everything is native Catalyst expressions; no Python runs per row.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,7 @@ DOC_SCHEMA = T.StructType([
 
 RESPONSE_SCHEMA = "response array<variant>, paging struct<current: bigint>"
 FAILFAST = {"mode": "FAILFAST"}
+LANDING_DIR = "/landing=([^/]*)/"
 
 
 # ------------------------------------------------------------------------------------------------
@@ -54,13 +55,16 @@ def landed_text_schema() -> T.StructType:
     return T.StructType([T.StructField("value", T.StringType())] + DOC_SCHEMA.fields[1:])
 
 
-def read_landed(spark: SparkSession, root: str, feed: str, day: dt.date | str | None = None) -> DataFrame:
+def read_landed(spark: SparkSession, root: str, feed: str, day: dt.date | str | None = None,
+                whole_files: bool = False) -> DataFrame:
     """Landed documents of one feed; context columns come from the partition directories.
 
     With ``day`` only that day's directory is listed (a daily run never lists the whole landing
-    history); a day with nothing landed gives an empty DataFrame.
+    history); a day with nothing landed gives an empty DataFrame. A document is a line, or with
+    ``whole_files`` a file, whose body may then span several lines.
     """
-    reader = spark.read.format("text").schema(landed_text_schema()).option("basePath", f"{root}/{feed}")
+    reader = spark.read.format("text").schema(landed_text_schema()).option("basePath", f"{root}/{feed}").option(
+        "wholetext", whole_files)
     if day is None:
         return number_lines(with_landing_order(reader.load(literal(f"{root}/{feed}"))))
     path = f"{root}/{feed}/request_date={day}"
@@ -72,8 +76,10 @@ def read_landed(spark: SparkSession, root: str, feed: str, day: dt.date | str |
 def with_landing_order(text: DataFrame) -> DataFrame:
     """Landed text rows as documents, with ``_file`` = (file modification time, path, block): when the
     same page of the same day and league is landed twice, the later landing is applied later. With
-    ``number_lines`` the lines of one file are applied in their order."""
+    ``number_lines`` the lines of one file are applied in their order. Where landings have ids
+    (``land``), ``_landing`` holds them: all pages of a later landing are applied after all earlier ones."""
     return text.select(F.col("value").alias("body"), "request_date", "league_id", "season",
+                       F.regexp_extract(F.col("_metadata.file_path"), LANDING_DIR, 1).alias("_landing"),
                        F.struct(F.col("_metadata.file_modification_time").alias("mtime"),
                                 F.col("_metadata.file_path").alias("path"),
                                 F.col("_metadata.file_block_start").alias("block")).alias("_file"))
@@ -84,9 +90,13 @@ def number_lines(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_file", F.col("_file").withField("line", F.monotonically_increasing_id()))
 
 
-def land(docs: DataFrame, root: str, feed: str) -> None:
-    """Write documents as text files partitioned by their request context (append)."""
+def land(docs: DataFrame, root: str, feed: str, landing: str | None = None) -> None:
+    """Write documents as text files partitioned by their request context (append).
+
+    ``landing`` names this landing; ids are ordered as text. A feed's landings all have one, or none."""
     parts = ["request_date", "league_id", "season"]
+    if landing is not None:
+        docs, parts = docs.withColumn("landing", F.lit(landing)), [*parts, "landing"]
     (docs.select(F.col("body").alias("value"), *parts).hint("rebalance", *parts)
          .write.mode("append").partitionBy(*parts).text(f"{root}/{feed}"))
 
@@ -98,6 +108,12 @@ def select_leagues(docs: DataFrame, leagues: Iterable[int] | DataFrame) -> DataF
     return docs.where(F.col("league_id").isin(list(leagues)))
 
 
+def number_leagues(docs: DataFrame, leagues: Sequence[int]) -> DataFrame:
+    """Adds ``_league_at``, the league's place in the list: leagues are applied in the order given."""
+    given = F.array(*[F.lit(x).cast("bigint") for x in leagues])
+    return docs.withColumn("_league_at", F.array_position(given, F.col("league_id")))
+
+
 def select_season(docs: DataFrame, season: int) -> DataFrame:
     return docs.where(F.col("season") == F.lit(season))
 
@@ -167,13 +183,15 @@ def _seq(cols: list[str]) -> Column:
 
 
 def _ctx_cols(docs: DataFrame) -> list[str]:
-    return [c for c in ("request_date", "league_id", "season", "_file") if c in docs.columns] + ["_page"]
+    context = ("request_date", "league_id", "season", "_league_at", "_landing", "_file")
+    return [c for c in context if c in docs.columns] + ["_page"]
 
 
 def _seq_cols(docs: DataFrame) -> list[str]:
-    """Batch order = the order a row loop meets the rows: day, league, page, (landing,) position."""
-    landing = ["_file"] if "_file" in docs.columns else []
-    return [c for c in ("request_date", "league_id") if c in docs.columns] + ["_page"] + landing + ["_pos"]
+    """Batch order = the order a row loop meets the rows: day, league (as listed, if a list was given),
+    landing, page, file, position."""
+    order = ("request_date", "_league_at", "league_id", "_landing", "_page", "_file", "_pos")
+    return [c for c in order if c in docs.columns or c in ("_page", "_pos")]
 
 
 # ------------------------------------------------------------------------------------------------

@@ -35,16 +35,22 @@ def stream_upsert(spark: SparkSession, landing_root: str, feed: str, table_path:
                   flatten: Callable[[DataFrame], DataFrame], checkpoint: str,
                   load_ts: dt.datetime | None = None, query_name: str | None = None,
                   max_files_per_trigger: int | None = None, archive_dir: str | None = None,
-                  select: Callable[[DataFrame], DataFrame] | None = None) -> int:
+                  select: Callable[[DataFrame], DataFrame] | None = None,
+                  landing_ids: bool = False, whole_files: bool = False) -> int:
     """Run one availableNow pass over the landing directory; returns the number of batches applied.
 
     ``select`` keeps the documents a run loads (the leagues and season of the batch path); none keeps all.
     ``max_files_per_trigger`` bounds each micro-batch (files are taken oldest first, so later
     landings still win). ``archive_dir`` moves consumed files out of the landing directory, which
     keeps the per-trigger listing small after years of landings; leave it unset when batch loads
-    read the same landing directory.
+    read the same landing directory. ``landing_ids``: whether the feed's landings have ids (``land``);
+    ``whole_files``: whether a document is a file rather than a line.
     """
-    reader = spark.readStream.format("text").schema(L.landed_text_schema()).option("maxFileAge", MAX_FILE_AGE)
+    schema = L.landed_text_schema()
+    if landing_ids:
+        schema = schema.add("landing", "string")
+    reader = spark.readStream.format("text").schema(schema).option("maxFileAge", MAX_FILE_AGE).option(
+        "wholetext", whole_files)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import glob
+import json
 import os
 
 import pytest
@@ -110,6 +111,34 @@ def test_documents_of_one_file_are_applied_in_line_order(spark, tmp_dir):
     assert [r.goals for r in R.read_table(spark, f"{tmp_dir}/raw", U.PLAYERS.schema).collect()] == [3]
 
 
+def paged(player_id, goals, page):
+    return json.dumps(json.loads(player_doc(player_id, goals)) | {"paging": {"current": page}})
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_a_later_landing_wins_though_the_player_moves_to_an_earlier_page(spark, tmp_dir, stream):
+    for landing, goals, page in (("2024-08-01T06", 1, 2), ("2024-08-01T18", 2, 1)):
+        row = [(paged(1, goals, page), d("2024-08-01"), 39, 2024)]
+        L.land(spark.createDataFrame(row, L.DOC_SCHEMA), f"{tmp_dir}/l", "players", landing)
+    if stream:
+        flatten = lambda docs: L.stamp_snapshot(L.flatten_players(docs), "2024-08-01")
+        stream_upsert(spark, f"{tmp_dir}/l", "players", f"{tmp_dir}/raw", U.PLAYERS, flatten, f"{tmp_dir}/c", T0,
+                      landing_ids=True)
+    else:
+        rows = L.stamp_snapshot(L.flatten_players(L.read_landed(spark, f"{tmp_dir}/l", "players")), "2024-08-01")
+        U.upsert_table(spark, f"{tmp_dir}/raw", rows, U.PLAYERS, T0)
+    assert [r.goals for r in R.read_table(spark, f"{tmp_dir}/raw", U.PLAYERS.schema).collect()] == [2]
+
+
+def test_a_body_of_several_lines_is_one_document_of_a_whole_file(spark, tmp_dir):
+    folder = f"{tmp_dir}/l/players/request_date=2024-08-01/league_id=39/season=2024"
+    os.makedirs(folder)
+    with open(f"{folder}/x.txt", "w") as f:
+        f.write(json.dumps(json.loads(player_doc(1, 4)), indent=2))
+    rows = L.flatten_players(L.read_landed(spark, f"{tmp_dir}/l", "players", d("2024-08-01"), whole_files=True))
+    assert [r.goals for r in rows.collect()] == [4]
+
+
 def test_a_rebuild_of_an_older_run_is_the_one_read(spark, tmp_dir):
     df = spark.range(3)
     R.publish_version(df, f"{tmp_dir}/m", "v20240802")

@@ -92,6 +92,14 @@ def test_batch_order_is_day_league_page_position(spark):
     assert sorted((r.fixture_id, r.pg, r.pos) for r in seqs) == [(4, 2, 1), (5, 2, 0)]
 
 
+def test_leagues_are_applied_in_the_order_of_the_list(spark):
+    two = docs(spark, [{"response": [fixture(1, 1)]}], day="2024-08-01", league=39).unionByName(
+        docs(spark, [{"response": [fixture(1, 2)]}], day="2024-08-01", league=140))
+    for leagues, last in (([39, 140], 2), ([140, 39], 1), (iter([140, 39]), 1)):
+        rows = jobs.feed_rows(two, "fixtures", "2024-08-02", leagues)
+        assert rows.orderBy(F.desc("_seq")).first().home_goals == last
+
+
 def test_feed_rows_selects_league_season_and_day(spark):
     df = docs(spark, [{"response": [fixture(1)]}], day="2024-08-01").unionByName(
         docs(spark, [{"response": [fixture(2)]}], day="2024-08-02")).unionByName(
