@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import id_and_text, id_type
+from snapmart.llm.common import id_and_text, id_type, stored
 
 TRAIN_ROWS = 20_000
+TRAIN_PARTS = 32         # tasks that share the sample
 FOLDS, HELD_OUT = 5, 0
 STEM_LENGTHS = range(3, 9)
 MIN_DOCUMENTS = 8       # toxic training documents that must hold an entry
@@ -74,12 +75,15 @@ def words_of(text: str, table: Fold) -> list[str]:
 
 
 def train_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, label_col: str = "toxic") -> DataFrame:
-    """text and label of the bounded training sample. Its ids are few, so no document is shuffled."""
+    """text and label of the bounded training sample, stored, as it is read several times. Its ids are few, so
+    they go to the documents; of rows that repeat an id one is taken, so the sample stays bounded."""
     labelled = labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull()).where(
         F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT)
     sample = labelled.groupBy("doc_id").agg(F.max(label_col).alias("label")).orderBy(
         F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.join(F.broadcast(sample), "doc_id").select("text", "label")
+    found = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("label").alias("label"))
+    return stored(found.repartition(TRAIN_PARTS, "doc_id").select("text", "label"), "toxicity_sample")
 
 
 def learn(sample: DataFrame) -> dict:

@@ -305,6 +305,12 @@ def test_toxicity_without_labels_and_on_the_messy_table(spark):
     assert toxicity.toxicity(M.empty(spark), labels).count() == 0
 
 
+def test_an_id_on_very_many_rows_is_one_row_of_the_sample(spark):
+    docs = spark.createDataFrame([(1, "one text"), *[(3, f"text {i}") for i in range(500)]], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0), (3, 0)], "doc_id bigint, toxic int")
+    assert sorted(map(tuple, toxicity.train_rows(docs, labels).collect())) == [("one text", 1), ("text 0", 0)]
+
+
 def test_labels_of_held_out_rows_are_never_used(spark):
     rng = random.Random(1)
     rows = [(i, M.prose(rng, 40) + (" zornwort" if i % 2 else "")) for i in range(400)]
