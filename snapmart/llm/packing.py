@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -87,9 +88,11 @@ def cut(docs: DataFrame, tokenizer_path: str, pattern: str, capacity: int, id_co
 class TokenIds:
     """Token ids as little-endian 32-bit words, closed by id 0.
 
-    The ids are those of ``tokenizers`` for the file at ``path``. They are computed by tiktoken from the
-    same file's vocabulary, which merges the same pairs in the same order at a third of the cost; every
-    task holds its first texts against ``tokenizers`` itself and stops if an id differs.
+    The ids are those of ``tokenizers`` for the file at ``path``, without the ids a post-processor adds. They
+    are computed by tiktoken from the same file's vocabulary, which merges the same pairs in the same order
+    at a third of the cost; every task holds its first texts, and one with each added token of the file,
+    against ``tokenizers`` itself and stops if an id differs. A text is split at the added tokens, each of
+    which is one id, also where the text only quotes it.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -97,29 +100,32 @@ class TokenIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         # the vocabulary spells bytes as characters: printable ones as themselves, the rest from U+0100 on
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
         byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
-        special = {t["content"] for t in spec["added_tokens"]}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {bytes(map(byte.__getitem__, token)): i
                  for token, i in spec["model"]["vocab"].items() if token not in special}
-        self.encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks,
-                                        special_tokens={}).encode_to_numpy
+        encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+        self.encode = partial(encoding.encode_to_numpy, allowed_special="all")
         self.unproved = PROBES
+        for token in special:
+            self.prove(f"a {token} b{token}{token}\n")
 
     def __call__(self, text: str) -> bytes:
         ids = self.encode(text).astype("<u4")
         if self.unproved:
             self.unproved -= 1
-            probe = text[:PROBE_CHARS]
-            if self.tokenizer.encode(probe, add_special_tokens=False).ids != self.encode(probe).tolist():
-                raise ValueError("the vocabulary and the tokenizer give different ids")
+            self.prove(text[:PROBE_CHARS])
         return ids.tobytes() + CLOSE
 
+    def prove(self, probe: str) -> None:
+        if self.tokenizer.encode(probe, add_special_tokens=False).ids != self.encode(probe).tolist():
+            raise ValueError("the vocabulary and the tokenizer give different ids")
+
 
 def placed(ranked: DataFrame, plan: list[tuple[Pattern, int]], doc_id: str) -> DataFrame:
     """Sequence and offset of each ranked piece. The plan has at most a few entries per length, so it

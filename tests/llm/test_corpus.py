@@ -191,6 +191,26 @@ def test_packed_pieces_hold_the_tokenizers_ids(spark):
     assert packing.pack(M.messy(spark), path, public_tokenizers.PATTERN).count() >= len(M.rows())
 
 
+def test_added_tokens_in_a_text_have_the_tokenizers_ids(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    reference = tokenizers.Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end} \n{end}", f"one  {end}  two", f"<|endoftext{end}|>", "<|endoftext|",
+             "x " * 700 + end + " y" * 700]
+    assert reference.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    ids_of = packing.TokenIds(path, public_tokenizers.PATTERN)
+    ids_of.unproved = 0
+    want = {}
+    for i, text in enumerate(texts):
+        want[i] = reference.encode(text, add_special_tokens=False).ids + [0]
+        assert np.frombuffer(ids_of(text), "<u4").tolist() == want[i]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in packing.pack(docs, path, public_tokenizers.PATTERN, capacity=512).collect():
+        part = want[r.doc_id][r.start:r.start + r.length]
+        assert r.length == len(part) and r.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes())
+
+
 # -- 6: exact dedup ------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("capacity", [1, 1024])
