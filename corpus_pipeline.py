@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from snapmart.llm.common import documents, stored
 from snapmart.llm.compression import keep_good
 from snapmart.llm.exact_dedup import drop_copies
-from snapmart.llm.ngram_join import keep_one_of_each
+from snapmart.llm.ngram_join import keep_one_row_of_each
 from snapmart.llm.packing import pack
 from snapmart.llm.pii import mask
 from snapmart.llm.queries import split_pattern, tokenizer_file
@@ -26,8 +26,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their shingles the one with the smallest id stays."""
-    return keep_one_of_each(docs)
+    """Of documents linked by their shingles one row stays, with the smallest id."""
+    return keep_one_row_of_each(docs)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

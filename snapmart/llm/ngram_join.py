@@ -71,8 +71,9 @@ def block_names(sets: list[np.ndarray], first: list[int]) -> tuple[np.ndarray, n
 
 
 def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, node (class), and for the first live document of a class in its block: alone
-    (shingles no other document has) and grams (the others with their frequency, in global order)."""
+    """doc_id, copy (digest of the text), n_shingles, node (class), and for the first live document of a class
+    in its block: alone (shingles no other document has) and grams (the others with their frequency, in
+    global order)."""
     blocks = to_blocks(docs, id_col, text_col)
 
     def asked(block: dict):
@@ -93,6 +94,7 @@ def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for row in range(batch.num_rows):
                 block = {name: batch.column(i)[row].as_py() for i, name in enumerate(batch.schema.names)}
                 sets, digests, first = block_sets(block)
+                copies = [bytes.fromhex(sha256(raw))[:16] for raw in texts_of(block["sizes"], block["texts"])]
                 keys, _ = block_names(sets, first)
                 frequency = joined(block["answers"], np.uint16)
                 alone: list = [None] * len(sets)
@@ -106,15 +108,15 @@ def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         alone[i] = n - rest
                         grams[i] = (own[shared][order], sets[i][shared][order].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(block["ids"], batch.schema.field("ids").type.value_type),
+                    [pa.array(block["ids"], batch.schema.field("ids").type.value_type), pa.array(copies, pa.binary()),
                      pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
                      pa.array(alone, pa.int64()),
                      pa.array([g and g[0].astype(np.int32).tolist() for g in grams], pa.list_(pa.int32())),
                      pa.array([g and g[1].tolist() for g in grams], pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "node", "alone", "frequency", "grams"])
+                    ["doc_id", "copy", "n_shingles", "node", "alone", "frequency", "grams"])
 
     return stored(with_answers(blocks, answers=answers).mapInArrow(
-        run, f"doc_id {id_type(docs, id_col)}, n_shingles bigint, node binary, alone bigint, "
+        run, f"doc_id {id_type(docs, id_col)}, copy binary, n_shingles bigint, node binary, alone bigint, "
              "frequency array<int>, grams array<bigint>"), "profiles")
 
 
@@ -234,8 +236,9 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         labels = after.select("node", "label")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: doc_id, copy, n_shingles, node (null without words), component_id, and keeper,
+    the copy that stands for the component (of its rows with the smallest id, the smallest)."""
     profile = profiles(docs, id_col, text_col)
     live = live_classes(profile)
     cut, prefix = segments(live, fragment_edges(live)), prefixes(live)
@@ -246,18 +249,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.union(stored(linked(rest, cut, live), "open_links"))
     labels = components(live, links)
 
-    classes = profile.where(F.col("n_shingles") > 0).groupBy("node").agg(F.min("doc_id").alias("first"))
+    classes = profile.where(F.col("n_shingles") > 0).groupBy("node").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "copy")).alias("first"))
     classes = classes.join(labels, "node", "left").select(
         "node", "first", F.coalesce("label", "node").alias("label"))
-    smallest = classes.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_class = classes.join(smallest, "label").select("node", "component_id")
-    rows = profile.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
+    smallest = classes.groupBy("label").agg(F.min("first").alias("one"))
+    of_class = classes.join(smallest, "label").select(
+        "node", F.col("one.doc_id").alias("component_id"), F.col("one.copy").alias("keeper"))
+    rows = profile.select("doc_id", "copy", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
     return rows.join(of_class, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "copy", "n_shingles", "node", F.coalesce("component_id", "doc_id").alias("component_id"), "keeper")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    return members(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def by_copy(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(all, id, copy): the rows of ``docs`` with what tells the texts of a repeated id apart."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    copy = F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+    return docs.select(F.struct("*").alias("all"), F.col(id_col).alias("id"), copy.alias("copy"))
+
+
+def matched(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``rows`` of ``by_copy`` that have (left_semi) or lack (left_anti) their doc_id and copy in ``found``."""
+    d, f = rows.alias("d"), found.select("doc_id", "copy").alias("f")
+    return d.join(f, F.col("d.id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.copy") == F.col("f.copy")), how)
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents whose id is their component's, with all columns. Rows without an id stay; rows that
     repeat an id stay or go by the component of their own text."""
-    found = near_duplicates(docs, id_col, text_col).where(F.col("component_id") != F.col("doc_id"))
-    return docs.join(found.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti").select(docs.columns)
+    found = members(docs, id_col, text_col).where(F.col("component_id") != F.col("doc_id"))
+    return matched(by_copy(docs, id_col, text_col), found, "left_anti").select("all.*")
+
+
+def keep_one_row_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Exactly one row of each component, with all columns: one with its smallest id (a null id only where no
+    other is there). Texts without words are components of their own and stay."""
+    found = members(docs, id_col, text_col).where(F.col("node").isNotNull())
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("copy") == F.col("keeper"))
+    found = stored(found.groupBy("doc_id", "copy", stays.alias("stays")).agg(F.count("*").alias("n")), "near_verdicts")
+    rows = by_copy(docs, id_col, text_col)
+    again = found.where(F.col("stays") & (F.col("n") > 1))  # rows that repeat both id and text
+    if again.isEmpty():
+        return matched(rows, found.where(~F.col("stays")), "left_anti").select("all.*")
+    once = matched(rows, found.where(~F.col("stays") | (F.col("n") > 1)), "left_anti").select("all")
+    one = matched(rows, again, "left_semi").groupBy("id", "copy").agg(F.first("all").alias("all")).select("all")
+    return once.union(one).select("all.*")

@@ -357,6 +357,43 @@ def test_one_document_of_each_component_stays(spark):
     assert by_row(kept.select("doc_id")) == Counter((i,) for i, _ in M.pairs() if i not in gone)
 
 
+def brute_parts(rows):
+    """The component of each row, as its smallest row; rows without words have their own."""
+    sets = [{tuple(w[k:k + 5]) for k in range(max(len(w) - 4, 1))} - {()} for w in (M.words(M.lower(t)) for _, t in rows)]
+    part = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 75 * len(sets[a] | sets[b]) and part[a] != part[b]:
+                low, high = sorted((part[a], part[b]))
+                part = [low if x == high else x for x in part]
+    return part
+
+
+def test_ids_that_repeat_stay_or_go_by_row_and_one_row_of_each_component_stays(spark):
+    rng = random.Random(12)
+    family, other = M.prose(rng, 90), M.prose(rng, 90)
+    lone = [M.prose(rng, 60) for _ in range(20)]
+    rows = [(1, family), (7, family + " more words"), *[(7, t) for t in lone],  # a hot id with one near copy
+            (3, other), (3, other + " x y"), (3, other + " z"), (3, "  " + other), (3, other),  # near copies of one id
+            (None, other + " q"), (None, "no id one two three"), (None, "no id one two  three"), (9, " "), (9, " ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = by_row(ngram_join.keep_one_of_each(docs))
+    assert all(kept[7, t] for t in lone) and not kept[7, family + " more words"]
+    for table, pairs in ((docs, rows), (M.messy(spark), M.pairs())):
+        kept = ngram_join.keep_one_row_of_each(table)
+        assert kept.schema == table.schema
+        part = brute_parts(pairs)
+        ids, of = defaultdict(list), {}
+        for c, (i, t) in zip(part, pairs):
+            ids[c].append(i)
+            of[i, t] = c if M.words(t) else "empty"
+        got = [(r.doc_id, r.text or "") for r in kept.collect()]
+        want = Counter((of[pairs[c]], min((i for i in some if i is not None), default=None)) if M.words(pairs[c][1])
+                       else ("empty", pairs[c][0]) for c, some in ids.items())
+        assert Counter((of[x], x[0]) for x in got) == want
+
+
 # -- the pipeline ----------------------------------------------------------------------------------------------------------
 
 def test_pipeline_stages_are_the_operators_in_order(spark, tmp_dir):
