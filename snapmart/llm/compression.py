@@ -1,7 +1,8 @@
 """Quality rules: compression bands.
 
 A text is judged by its zstandard ratio (compressed bytes over UTF-8 bytes), once over the whole
-document and once over fixed chunks. Short texts compress worse than long ones, so the accepted band
+document and once over fixed chunks; the rest after the last whole chunk is judged as the chunk that ends
+the text, which weighs as many bytes as the rest has. Short texts compress worse than long ones, so the accepted band
 depends on the length: a ratio under the lower limit is repetitive, one over the upper limit is
 incompressible. A document is rejected if its whole ratio leaves its band, or if more than
 ``CHUNK_SHARE`` of its chunk bytes lie in chunks that leave the chunk band.
@@ -93,13 +94,14 @@ def judge(raw: bytes, squeeze) -> tuple[float, int, int, bool]:
             good = least <= ratio <= most
             break
     low = high = 0
-    whole_chunks = size // CHUNK_BYTES
-    if whole_chunks >= 2:  # one chunk would only repeat the whole ratio; a short rest has no band of its own
-        for i in range(whole_chunks):
-            r = len(squeeze(raw[i * CHUNK_BYTES:(i + 1) * CHUNK_BYTES])) / CHUNK_BYTES
-            low += CHUNK_BYTES * (r < CHUNK_BAND[0])
-            high += CHUNK_BYTES * (r > CHUNK_BAND[1])
-        good = good and low + high <= CHUNK_SHARE * whole_chunks * CHUNK_BYTES
+    if size > CHUNK_BYTES:  # one chunk would only repeat the whole ratio
+        for start in range(0, size, CHUNK_BYTES):
+            weight = min(CHUNK_BYTES, size - start)
+            end = start + weight  # a short rest has no band of its own, so its chunk starts before it
+            r = len(squeeze(raw[end - CHUNK_BYTES:end])) / CHUNK_BYTES
+            low += weight * (r < CHUNK_BAND[0])
+            high += weight * (r > CHUNK_BAND[1])
+        good = good and low + high <= CHUNK_SHARE * size
     return ratio, low, high, good
 
 

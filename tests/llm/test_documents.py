@@ -71,6 +71,22 @@ def test_a_document_with_mostly_noise_chunks_goes_though_its_whole_ratio_may_pas
     assert high > 0 and not good
 
 
+def test_the_rest_after_the_last_whole_chunk_is_judged():
+    import zstandard
+    squeeze, rng = zstandard.ZstdCompressor(level=3).compress, random.Random(6)
+    text = varied(rng, 3000).encode()
+    noise = "".join(rng.choices(string.ascii_letters + string.digits, k=6000)).encode()
+    for n in (2047, 2048, 3000, 4048, 4096):  # the noise after 2,048 bytes of prose counts in full
+        _, low, high, good = compression.judge(text[:2048] + noise[:n], squeeze)
+        assert (low, high) == (0, n) and (good or n > 2048)
+    assert not compression.judge(text[:2048] + noise[:4048], squeeze)[3]
+    dull = b"mm nn oo pp qq " * 200
+    for n in (2047, 2048, 3000):
+        assert compression.judge(text[:2048] + dull[:n], squeeze)[1:3] == (n, 0)
+    for n in (1, 64, 1024, 2048, 2049, 3000, 4095, 4096, 6000):
+        assert compression.judge(text[:n], squeeze)[1:3] == (0, 0)
+
+
 def test_keep_good_keeps_rows_and_columns_as_they_are(spark):
     docs = M.messy(spark)
     kept = compression.keep_good(docs)
