@@ -54,7 +54,7 @@ LENGTHS = (19, 23, 31, 47, 63, 127)
 P_BINS = 48  # of a quarter of a decade of p
 FDR = 0.05
 LEAST_BIN = 8  # a discovery must also pass as random itself: p of 0.01 or more
-MAX_SYMBOLS = 4096  # symbols of a token that the tests look at; longer tokens are judged by evenly spread ones
+SLICE = 1 << 20  # symbols of a token that are summed at a time; every symbol is
 
 COLUMNS = ("n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, base array<struct<start:int,"
            "kind:int,end:int>>, found array<struct<start:int,end:int,cell:int,p:int>>, cells array<int>, "
@@ -168,38 +168,39 @@ def p_values(tokens: list[str], codes: list[int]) -> np.ndarray:
     out = np.zeros(len(tokens), np.int32)
     shapes: dict[tuple[int, int], list[int]] = {}
     for i, (token, code) in enumerate(zip(tokens, codes)):
-        shapes.setdefault((code, min(len(token), MAX_SYMBOLS)), []).append(i)
+        shapes.setdefault((code, len(token)), []).append(i)
     for (code, length), at in shapes.items():
-        rows = [tokens[i] if len(tokens[i]) == length else spread(tokens[i], length) for i in at]
-        symbols = SYMBOL[code][np.frombuffer("".join(rows).encode(), np.uint8).reshape(len(at), length)]
+        symbols = SYMBOL[code][np.frombuffer("".join(tokens[i] for i in at).encode(), np.uint8).reshape(len(at), length)]
         logs = log_p(symbols, len(ALPHABETS[code][1]))
         out[at] = np.clip(logs * 4, 0, P_BINS - 1).astype(np.int32)
     return out
 
 
-def spread(token: str, length: int) -> str:
-    """Neighbouring characters in evenly spread blocks over the whole token."""
-    block = 64
-    starts = np.linspace(0, len(token) - block, length // block).astype(int)
-    return "".join(token[s:s + block] for s in starts)
-
-
 def log_p(symbols: np.ndarray, size: int) -> np.ndarray:
     """-log10 of the joint p-value of each row under uniform, independent symbols 0 .. size - 1."""
     n, length = symbols.shape
     cells = 8
-    group = symbols * cells // size
-    counts = np.stack([(group == c).sum(1) for c in range(cells)])
+    counts, (ups, changes), (power, product) = np.zeros((cells, n), np.int64), np.zeros((2, n), np.int64), np.zeros((2, n))
+    mean = symbols.mean(1, keepdims=True)
+    for at in range(0, length, SLICE):
+        part, new = symbols[:, max(at - 1, 0):at + SLICE], min(at, 1)  # with the symbol before, for the neighbours
+        group = part[:, new:] * cells // size
+        counts += np.stack([(group == c).sum(1) for c in range(cells)])
+        high = part >= size // 2
+        ups += high[:, new:].sum(1)
+        changes += (high[:, 1:] != high[:, :-1]).sum(1)
+        centred = part - mean
+        power += (centred[:, new:] ** 2).sum(1)
+        product += (centred[:, 1:] * centred[:, :-1]).sum(1)
+    lag = product / np.maximum(power, 1e-9)
     chi = ((counts - length / cells) ** 2).sum(0) * cells / length
     # Wilson and Hilferty: the cube root of chi-squared over its degrees is close to normal
     degrees = cells - 1
     z = ((chi / degrees) ** (1 / 3) - (1 - 2 / (9 * degrees))) / math.sqrt(2 / (9 * degrees))
     uniform = 0.5 * erfc(z / math.sqrt(2))
 
-    high = symbols >= size // 2
-    ups = high.sum(1)
     downs = length - ups
-    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(1)
+    runs = 1 + changes
     product = 2.0 * ups * downs
     expected = product / length + 1
     variance = np.maximum(product * (product - length), 0) / (length ** 2 * (length - 1.0))
@@ -207,9 +208,6 @@ def log_p(symbols: np.ndarray, size: int) -> np.ndarray:
     # one side only ever used: as unlikely as that many equal coin tosses
     run_p = np.where(product > 0, erfc(np.abs(z) / math.sqrt(2)), 2.0 ** (1 - length))
 
-    centred = symbols - symbols.mean(1, keepdims=True)
-    power = (centred ** 2).sum(1)
-    lag = (centred[:, 1:] * centred[:, :-1]).sum(1) / np.maximum(power, 1e-9)
     z = (lag + 1 / length) * math.sqrt(length)
     serial = erfc(np.abs(z) / math.sqrt(2))
 

@@ -289,6 +289,22 @@ def test_uniform_symbols_have_uniform_p_values():
     assert secrets.log_p(np.tile(np.arange(26, 36), (1, 4)), 64)[0] > 4
 
 
+def test_long_tokens_are_judged_by_all_their_symbols(monkeypatch):
+    rng = random.Random(10)
+    alphabet = string.ascii_letters + string.digits + "+/"
+    key = "".join(rng.choices(alphabet, k=100_000))
+    words = list("river7copper" * 8400)[:100_000]
+    for s in np.linspace(0, 100_000 - 64, 64).astype(int):  # random in 64 blocks of 64 only
+        words[s:s + 64] = key[s:s + 64]
+    assert secrets.p_values(["".join(words)], [3])[0] == secrets.P_BINS - 1
+    assert secrets.p_values([key], [3])[0] < secrets.LEAST_BIN
+    symbols = np.random.default_rng(2).integers(0, 64, (5, 5000)).astype(np.int16)
+    whole = secrets.log_p(symbols, 64)
+    for size in (1, 7, 2500, 4999):
+        monkeypatch.setattr(secrets, "SLICE", size)
+        assert np.allclose(secrets.log_p(symbols, 64), whole, rtol=1e-6, atol=1e-9)
+
+
 # -- 8: toxicity --------------------------------------------------------------------------------------------
 
 def test_toxicity_learns_folds_and_excuses(spark):
