@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmart.llm.common import documents
@@ -154,3 +156,73 @@ WITH RECURSIVE w AS (
 SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
 FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
+
+
+def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words op11 judges: a tenth of the documents, by the checksum of their id, repeat from some word on."""
+    if doc_id is None or not words:
+        return words
+    g, rest = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if rest:
+        return words
+    n = len(words)
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    return words[:start] + [words[start + i % period] for i in range(n - start)]
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from snapmart.llm.periodic import run_summary
+
+    return run_summary(documents(spark, sf_dir), planted_period)
+
+
+# A lag's matches are found from repeated five-word sequences, as every run has five matches in a row.
+ORACLES["op11_periodic_runs"] = r"""
+WITH crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+), texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    xor(4294967295, list_reduce(list_concat([4294967295],
+      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM documents, crc
+), sized AS (
+  SELECT doc_id, ws, len(ws) AS n, h % 10 = 0 AND len(ws) > 0 AS planted, h // 10 AS g FROM texts
+), w AS (
+  SELECT doc_id, n, i, CASE WHEN planted AND i >= g % n
+    THEN ws[g % n + (i - g % n) % (1 + (n - g % n) // (3 + g % 8)) + 1] ELSE ws[i + 1] END AS word
+  FROM (SELECT *, unnest(range(0, n)) AS i FROM sized)
+), five AS (
+  SELECT doc_id, n, i, count(*) OVER v AS c, string_agg(word, ' ') OVER v AS k FROM w
+  WINDOW v AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)
+), hits AS (
+  SELECT a.doc_id, b.i - a.i AS q, a.i FROM five a JOIN five b ON a.doc_id = b.doc_id AND a.k = b.k AND b.i > a.i
+  WHERE a.c = 5 AND b.c = 5 AND 4 * (b.i - a.i) <= a.n
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM hits)
+  GROUP BY doc_id, q, island HAVING count(*) + 4 + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+    string_agg(start || ',' || length || ',' || period, chr(10) ORDER BY start, period) || chr(10) AS lines
+  FROM runs GROUP BY doc_id
+), best AS (
+  SELECT a.* FROM runs a ANTI JOIN runs b ON a.doc_id = b.doc_id AND
+    (b.length * a.period > a.length * b.period OR b.length * a.period = a.length * b.period AND
+      (b.start < a.start OR b.start = a.start AND b.period < a.period))
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM w ANTI JOIN runs r
+    ON w.doc_id = r.doc_id AND w.i >= r.start + r.period AND w.i < r.start + r.length
+  GROUP BY doc_id
+)
+SELECT s.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(b.start AS BIGINT) AS start, CAST(b.length AS BIGINT) AS length,
+       CAST(b.period AS BIGINT) AS period, CAST(b.length * 1000 // b.period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM sized s LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
