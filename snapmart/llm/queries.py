@@ -226,3 +226,11 @@ SELECT s.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(b.start AS BIGINT) AS start
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
 FROM sized s LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from snapmart.llm.alignment import Tokenizers, aligned
+
+    files = Tokenizers(tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"), split_pattern())
+    return aligned(documents(spark, sf_dir), files)

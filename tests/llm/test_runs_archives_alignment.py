@@ -1,18 +1,22 @@
 """Periodic runs, WARC archives and cross-tokenizer alignment, held to brute force."""
 
+import base64
 import hashlib
 import random
 import sys
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 
 import messy as M  # noqa: E402
 
-from snapmart.llm import periodic, queries  # noqa: E402
+from snapmart.llm import alignment, periodic, queries  # noqa: E402
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
 
 
 def by_row(df):
@@ -104,3 +108,109 @@ def test_planted_periods_are_found():
         ws = queries.planted_period(i, words)
         assert len(ws) == 120 and periodic.runs_of(ws) == brute_runs(ws)
     assert queries.planted_period(None, words) == words and queries.planted_period(ids[0], []) == []
+
+
+# -- 13: cross-tokenizer alignment ----------------------------------------------------------------------
+
+def alignment_files():
+    return alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                                public_tokenizers.PATTERN)
+
+
+def brute_tokens():
+    """Tokens of both libraries as they are: ids and bytes of a text."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        spelled = {int(i): base64.b64decode(t) for t, i in map(bytes.split, file)}
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+    def piece(i):
+        return bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
+
+    def tokens(text):
+        if not text:
+            return [], []
+        raw = (" " + text).encode()
+        x = [(i, spelled[i]) for i in a.encode(" " + text, add_special_tokens=False).ids]
+        y = [(i, piece(i)) for i in b.encode(text)]
+        return (x, y) if b"".join(t for _, t in x) == raw == b"".join(t for _, t in y) else ([], [])
+
+    return tokens
+
+
+def spans(tokens):
+    out, at = [], 0
+    for i, t in tokens:
+        out.append((i, at, at + len(t)))
+        at += len(t)
+    return out
+
+
+def brute_alignment(rows):
+    tokens = brute_tokens()
+    seen, links, texts = {}, [], []
+    for i, text in rows:
+        if text not in seen:
+            x, y = map(spans, tokens(text))
+            joins = sorted({e for _, _, e in x} & {e for _, _, e in y})
+            pairs, at = [], 0
+            for a, s, e in x:  # every pair whose ranges overlap
+                while at < len(y) and y[at][2] <= s:
+                    at += 1
+                k = at
+                while k < len(y) and y[k][1] < e:
+                    pairs.append((a, y[k][0]))
+                    k += 1
+            groups = [",".join(str(a) for a, _, e in x if low < e <= high) + "|" +
+                      ",".join(str(b) for b, _, e in y if low < e <= high) for low, high in zip([0, *joins], joins)] \
+                if len(x) < 3000 else None
+            seen[text] = (len(x), len(y), len(joins), pairs, groups)
+        links.append(seen[text][3])
+    counts = Counter(p for pairs in links for p in pairs)
+    most = Counter()
+    for (a, b), n in counts.items():
+        most[b] = max(most[b], n)
+    out = Counter()
+    for i, text in rows:
+        na, nb, n, pairs, groups = seen[text]
+        if groups is None:
+            written = None
+        else:
+            written = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
+        out[i, na, nb, n, len(pairs), sum(counts[p] == most[p[1]] for p in pairs), sum(counts[p] for p in pairs), written] += 1
+    return out, counts
+
+
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 500, "parts": 7, "group": 2, "fan": 2}])
+def test_alignment_matches_both_libraries_on_the_messy_table(spark, sizes):
+    quoted = [(900, "a <|endoftext|> quote <s>"), (901, "one ▁ piece"), (902, " "), (903, "é́ ﬁ\x00​"), (904, "<0x41>")]
+    docs = M.messy(spark)
+    more = spark.createDataFrame([(i, t) for i, t in quoted], "doc_id long, text string")
+    rows = M.pairs() + quoted
+    want, counts = brute_alignment(rows)
+    got = Counter()
+    long = {k[1] for k in want if k[-1] is None}
+    for r in alignment.aligned(docs.unionByName(more, allowMissingColumns=True), alignment_files(), **sizes).collect():
+        got[(*r[:7], None if r.n_a in long else r.groups_sha256)] += 1
+    assert got == want
+    pairs = alignment.linked_pairs(docs.unionByName(more, allowMissingColumns=True), alignment_files(), **sizes).collect()
+    assert {(r.a, r.b): r.links for r in pairs} == dict(counts)
+    assert alignment.aligned(M.empty(spark), alignment_files(), **sizes).count() == 0
+
+
+def test_perfect_hash_is_minimal_and_verifies_keys():
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 2 ** 40, 20_000).astype(np.uint64))
+    for some in (keys, keys[:1], keys[:0]):
+        hashed = alignment.PerfectHash.of(*alignment.PerfectHash.build(some).row())
+        assert sorted(hashed.index(some).tolist()) == list(range(len(some)))
+        others = np.setdiff1d(rng.integers(0, 2 ** 40, 5000).astype(np.uint64), some)
+        assert (hashed.index(others) == -1).all()
+    with pytest.raises(ValueError):
+        alignment.PerfectHash.build(np.array([3, 3], np.uint64))
+    with pytest.raises(ValueError):
+        alignment.found(alignment.PerfectHash.build(keys[:100]), keys[100:101])
