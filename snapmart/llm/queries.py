@@ -234,3 +234,24 @@ def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     files = Tokenizers(tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"), split_pattern())
     return aligned(documents(spark, sf_dir), files)
+
+
+@query
+def op12_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from snapmart.llm.warc import archived_pages
+
+    return archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+ORACLES["op12_warc_normaliser"] = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS page FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page <> page_id THEN page END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""

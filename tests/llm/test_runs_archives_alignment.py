@@ -1,6 +1,7 @@
 """Periodic runs, WARC archives and cross-tokenizer alignment, held to brute force."""
 
 import base64
+import gzip
 import hashlib
 import random
 import sys
@@ -14,7 +15,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 
 import messy as M  # noqa: E402
 
-from snapmart.llm import alignment, periodic, queries  # noqa: E402
+from snapmart.llm import alignment, periodic, queries, warc  # noqa: E402
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -214,3 +215,117 @@ def test_perfect_hash_is_minimal_and_verifies_keys():
         alignment.PerfectHash.build(np.array([3, 3], np.uint64))
     with pytest.raises(ValueError):
         alignment.found(alignment.PerfectHash.build(keys[:100]), keys[100:101])
+
+
+# -- 12: WARC archives ------------------------------------------------------------------------------------
+
+PAGE_SCHEMA = "page_id long, url string, html string, file string, ordinal long, page string, changes string"
+
+
+def messy_pages():
+    rng = random.Random(9)
+    big = M.prose(rng, 40)
+    html = [None, "", "", "x" * 99, "x" * 99, "x" * 100, "x" * 100, big, big, big, "é" * 50, "é" * 50, "é" * 49, "é" * 49,
+            M.prose(rng, 20_000), "\r\n\r\nWARC/1.1\r\n\r\n" * 9, "a\r\n" * 60, "a\r\n" * 60]
+    rows = [(50 - 2 * i, f"http://h/{i}" if i % 3 else None, t) for i, t in enumerate(html)]
+    rows += [rows[7], rows[7], (36, "http://other", big), (None, "http://n", big), (None, None, "y" * 300),
+             (None, None, "y" * 300), (-4, "http://b/\r\nX: 1", "z" * 200), (-3, "u", "z" * 200), (-4, "v", "z" * 200)]
+    return [(*r, None, 7, "p", "c") for r in rows]
+
+
+def brute_records(rows):
+    sized = [(i, (t or "").encode()) for i, _, t, *_ in rows]
+    groups = {}
+    for i, t in sized:
+        groups.setdefault(t, []).append(i)
+    out = Counter()
+    for t, ids in groups.items():
+        least = min((i for i in ids if i is not None), default=None)
+        digest = hashlib.sha256(t).hexdigest()
+        left = 1  # of the rows with the smallest id one is the response
+        for i in ids:
+            first = len(t) < 100 or (i == least and left)
+            left -= len(t) >= 100 and i == least and left
+            out[i, len(t), digest, "response" if first else "revisit", None if first else least] += 1
+    return out
+
+
+@pytest.mark.parametrize("roll", [1, 3000, warc.ROLL_BYTES])
+def test_archives_are_read_back_as_the_pages_say(spark, roll):
+    rows = messy_pages()
+    pages = spark.createDataFrame(rows, PAGE_SCHEMA).coalesce(3)
+    archives = warc.archive_pages(pages, roll_bytes=roll).collect()
+    assert sum(a.records for a in archives) == len(rows)
+    back = warc.read_archives(spark.createDataFrame(archives))
+    assert Counter(tuple(r)[:5] for r in back.collect()) == brute_records(rows)
+    html = Counter(r.html for r in back.collect() if r.record_type == "response")
+    assert set(html) == {t or "" for _, _, t, *_ in rows}
+    assert back.where("url like '%%0D%0AX: 1'").count() == 1
+    for a in archives:  # each member opens by itself, and together they are the file
+        where, path = warc.file_system(a.archive)
+        with where.open_input_file(path) as file:
+            raw = file.read()
+        at = 0
+        for place in warc.read_index(a.sidecar):
+            assert place["offset"] == at
+            assert gzip.decompress(raw[at:at + place["length"]]).startswith(b"WARC/1.1\r\nWARC-Type: " + place["type"].encode())
+            at += place["length"]
+        assert at == len(raw)
+
+
+def test_no_pages_no_archives(spark):
+    none = spark.createDataFrame([], PAGE_SCHEMA)
+    assert warc.archived_pages(none).count() == 0
+
+
+def foreign(records):
+    """Records as another writer might put them: odd capitals, a folded header, an unknown type."""
+    out = b""
+    for i, (kind, block) in enumerate(records):
+        out += (f"WARC/1.0\r\nwarc-type: {kind}\r\nWARC-Record-Id: <urn:page:{i}:x:{i}>\r\nwarc-date: 2020-01-01T00:00:00Z\r\n"
+                f"Warc-Payload-Digest: sha256:{hashlib.sha256(block.partition(GAP)[2]).hexdigest()}\r\nX-Note: a\r\n b\r\n"
+                f"CONTENT-LENGTH: {len(block)}\r\n\r\n").encode() + block + GAP
+    return out
+
+
+GAP = b"\r\n\r\n"
+
+
+def test_foreign_archives_are_normalised(spark, tmp_path):
+    blocks = [("warcinfo", b"software: x\r\n"), ("response", warc.http_head(4) + b"body"), ("metadata", b""),
+              ("response", warc.http_head(9_000_000) + b"\0" * 9_000_000)]
+    plain = foreign(blocks)
+    half = plain.index(b"WARC/1.0", 20)
+    files = {"whole": gzip.compress(plain), "members": gzip.compress(plain[:half + 7]) + gzip.compress(plain[half + 7:])}
+    for name, data in files.items():
+        (tmp_path / f"{name}.warc.gz").write_bytes(data)
+    rows = spark.createDataFrame([(f"file:{tmp_path}/{n}.warc.gz",) for n in files], "file string")
+    made = warc.normalise(rows, f"file://{tmp_path}/new")
+    assert [r.records for r in made.collect()] == [4, 4]
+    got = Counter((r.page_id, r.payload_bytes, r.record_type) for r in warc.read_archives(made).collect())
+    assert got == {(1, 4, "response"): 2, (3, 9_000_000, "response"): 2}
+    places = warc.read_index(made.first().sidecar)
+    assert [p["type"] for p in places] == [k for k, _ in blocks]
+    joined = b"".join(block for _, block in warc.Records(iter([plain])))
+    assert joined == b"".join(b for _, b in blocks)
+
+
+@pytest.mark.parametrize("harm", [lambda d: d[:-9], lambda d: d[:200], lambda d: gzip.compress(gzip.decompress(d)[:-3]),
+                                  lambda d: gzip.compress(b"HTTP/1.1 200 OK" + GAP), lambda d: gzip.compress(gzip.decompress(d)[:50])])
+def test_broken_archives_are_refused(tmp_path, harm):
+    data = gzip.compress(foreign([("response", warc.http_head(400) + bytes(range(200)) * 2)]))
+    (tmp_path / "f.warc.gz").write_bytes(harm(data))
+    with pytest.raises(ValueError):
+        warc.rewrite(f"{tmp_path}/f.warc.gz", f"{tmp_path}/o.warc.gz", f"{tmp_path}/o.index", {})
+
+
+def test_a_wrong_index_is_refused(tmp_path):
+    (tmp_path / "f.warc.gz").write_bytes(gzip.compress(foreign([("response", warc.http_head(1) + b"x")] * 2)))
+    warc.rewrite(f"{tmp_path}/f.warc.gz", f"{tmp_path}/o.warc.gz", f"{tmp_path}/o.index", {})
+    first, second = warc.read_index(f"{tmp_path}/o.index")
+    with open(tmp_path / "o.warc.gz", "rb") as file:
+        assert warc.read_record(file, second)[1].endswith(b"x")
+        for wrong in ({**first, "id": second["id"]}, {**first, "length": first["length"] + second["length"]},
+                      {**first, "length": first["length"] - 1}):
+            with pytest.raises(ValueError):
+                warc.read_record(file, wrong)
