@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from snapmart.llm.blocks import joined, pack, part_edges, unpack, with_answers
 from snapmart.llm.common import id_and_text, id_type, stored
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 PARTS = 128
 #: Blocks whose counts meet in one group, and groups that meet in one of the next level of a tree.
 GROUP, FAN = 1024, 16
