@@ -247,6 +247,41 @@ def test_directory_splits_only_overfull_buckets_and_covers_all_slots(spark):
             assert sum(m for c, m in keys.items() if start <= c < start + size) > 100
 
 
+@pytest.mark.parametrize("harm", ["slot missing", "slot twice"])
+def test_a_damaged_directory_changes_the_result(spark, monkeypatch, harm):
+    docs = spark.range(300).selectExpr("id doc_id", "concat('text ', id % 200) text")
+    whole = by_row(exact_dedup.exact_groups(docs, capacity=5))
+    good = exact_dedup.directory
+
+    def damaged(*args):
+        slots = good(*args)
+        if harm == "slot missing":
+            return slots.where("slot % 3 > 0")
+        return slots.unionByName(slots.where("slot % 3 = 0").withColumn("bucket", slots.bucket + 1))
+
+    monkeypatch.setattr(exact_dedup, "directory", damaged)
+    assert by_row(exact_dedup.exact_groups(docs, capacity=5)) != whole
+    assert exact_dedup.drop_copies(docs, capacity=5).count() != 200
+
+
+def test_the_directory_has_the_bits_its_entries_need(spark):
+    assert exact_dedup.directory_bits(10 ** 6) == 16 and exact_dedup.directory_bits(10 ** 10) == 27
+    docs = spark.range(3000).selectExpr("id doc_id", "concat('text ', id % 2000) text").cache()
+    found = exact_dedup.entries(docs)
+    slots = exact_dedup.directory(found, capacity=1, bits=18)
+    assert slots.count() <= 1 << 18 and slots.select("slot").distinct().count() == slots.count() and slots.agg({"depth": "max"}).first()[0] == 18
+    paged = exact_dedup.pages(docs, slots, bits=18)
+    assert paged.count() == 2000 and paged.agg({"group_size": "sum"}).first()[0] == 3000
+
+
+def test_a_row_repeated_over_a_third_of_the_table_is_kept_once(spark):
+    docs = spark.range(9000).selectExpr("IF(id % 3 = 0, 7L, id) AS doc_id", "IF(id % 3 = 0, 'hot', concat('t', id)) AS text")
+    groups = exact_dedup.exact_groups(docs)
+    assert groups.where("kept").count() == 6001 and groups.where("group_size = 3000").count() == 3000
+    assert "Window" not in exact_dedup.entries(docs)._jdf.queryExecution().executedPlan().toString()
+    assert exact_dedup.drop_copies(docs).count() == 6001
+
+
 def test_drop_copies_keeps_rows_whole(spark):
     docs = M.messy(spark)
     kept = exact_dedup.drop_copies(docs)
