@@ -4,9 +4,10 @@ The network learns from spans the patterns label in a bounded sample, with some
 people disguise them (other separators, a missing plus sign, spaces around the @). Texts are then read in
 windows of ``WINDOW`` characters that overlap by half. A span of any of the four kinds holds a digit or an
 @, and decoded spans without one are invalid, so windows without either are known to add nothing and are
-not run. Spans cut by a window's edge are left to the neighbour that holds them whole; equal spans of two
-windows add up, and per document the set of disjoint spans with the largest total weight is kept (weighted
-interval scheduling). Spans must satisfy the rules of their kind and must not touch a pattern span.
+not run at first. A span cut by a window's edge goes on in the neighbour, which is then run whether it holds
+a digit or not; stretches of one kind that overlap are one span, from the first uncut start to the last uncut
+end, however many windows it takes. Equal spans of two windows add up, and per document the set of disjoint
+spans with the largest total weight is kept (weighted interval scheduling). Spans must satisfy the rules of their kind and must not touch a pattern span.
 
 Defined results: null and empty texts have no spans. Without any labelled span in the sample there is no
 network and only pattern spans are returned.
@@ -188,28 +189,34 @@ def fit(texts: DataFrame) -> dict | None:
 
 def network_spans(model: dict, texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
     """Spans the network adds to each text."""
-    at, parts = [], []
+    last = [max(0, -(-len(text) // STRIDE) - 2) for text in texts]  # the window that reaches the end
+    new: list[tuple[int, int]] = []
     for row, text in enumerate(texts):
         cells = {m.start() // STRIDE for m in TRIGGER.finditer(text)}
-        last = max(0, -(-len(text) // STRIDE) - 2)  # the window that reaches the end
-        for w in sorted({min(w, last) for c in cells for w in (c - 1, c) if w >= 0}):
-            at.append((row, w * STRIDE))
-            parts.append(text[w * STRIDE:w * STRIDE + WINDOW].ljust(WINDOW, "\0"))
-    out: list[list[Span]] = [[] for _ in texts]
+        new += [(row, w) for w in sorted({min(w, last[row]) for c in cells for w in (c - 1, c) if w >= 0})]
+    ran = set(new)
     found: dict[int, dict[Span, float]] = {}
-    for some in range(0, len(at), 4096):
-        classes = char_classes("".join(parts[some:some + 4096])).reshape(-1, WINDOW)
-        paths, margins = decode(model, classes)
-        for i in np.flatnonzero(paths.any(1)).tolist():
-            row, offset = at[some + i]
-            size = min(WINDOW, len(texts[row]) - offset)
-            for kind, a, b in runs(paths[i]):
-                cut = a == 0 and offset > 0 or b >= size and offset + size < len(texts[row])
-                margin = float(margins[i, a:b].mean())
-                if not cut and b <= size and margin >= MIN_MARGIN:
-                    spans = found.setdefault(row, {})
-                    key = (kind, offset + a, offset + b)
-                    spans[key] = spans.get(key, 0.0) + margin * (b - a)
+    pieces: dict[int, list[tuple]] = {}  # stretches that an edge cuts: kind, start, end, cut left, cut right, weight
+    while new:
+        wanted = []
+        for row, w, kind, a, b, margin in stretches(model, texts, new):
+            offset, size = w * STRIDE, min(WINDOW, len(texts[row]) - w * STRIDE)
+            left, right = a == 0 and w > 0, b >= size and w < last[row]
+            weight = margin * (b - a)
+            if left or right:
+                pieces.setdefault(row, []).append((kind, offset + a, offset + b, left, right, weight))
+                wanted += [(row, x) for x, cut in ((w - 1, left), (w + 1, right)) if cut and (row, x) not in ran]
+            elif b <= size and margin >= MIN_MARGIN:
+                spans = found.setdefault(row, {})
+                key = (kind, offset + a, offset + b)
+                spans[key] = spans.get(key, 0.0) + weight
+        new = sorted(set(wanted))
+        ran.update(new)
+    for row, some in pieces.items():
+        for span, weight in joined_pieces(some):
+            spans = found.setdefault(row, {})
+            spans[span] = spans.get(span, 0.0) + weight
+    out: list[list[Span]] = [[] for _ in texts]
     for row, spans in found.items():
         text = texts[row]
         taken = sorted((s, e) for _, s, e in base[row])
@@ -220,6 +227,33 @@ def network_spans(model: dict, texts: list[str], base: list[list[Span]]) -> list
     return out
 
 
+def stretches(model: dict, texts: list[str], windows: list[tuple[int, int]]) -> Iterator[tuple]:
+    """(text, window, kind, start, end, mean margin) of what the network tags in some windows."""
+    for some in range(0, len(windows), 4096):
+        few = windows[some:some + 4096]
+        parts = [texts[row][w * STRIDE:w * STRIDE + WINDOW].ljust(WINDOW, "\0") for row, w in few]
+        paths, margins = decode(model, char_classes("".join(parts)).reshape(-1, WINDOW))
+        for i in np.flatnonzero(paths.any(1)).tolist():
+            for kind, a, b in runs(paths[i]):
+                yield (*few[i], kind, a, b, float(margins[i, a:b].mean()))
+
+
+def joined_pieces(pieces: list[tuple]) -> Iterator[tuple[Span, float]]:
+    """Spans that several windows hold in part: stretches of a kind that overlap, begun and ended uncut."""
+    kind = start = end = None
+    for k, a, b, left, right, weight in sorted(pieces):
+        if k != kind or a >= end:
+            if kind is not None and begun and closed >= end and total >= MIN_MARGIN * size:
+                yield (kind, start, end), total
+            kind, start, end, begun, closed, total, size = k, a, a, not left, -1, 0.0, 0
+        end = max(end, b)
+        closed = max(closed, -1 if right else b)
+        total += weight
+        size += b - a
+    if kind is not None and begun and closed >= end and total >= MIN_MARGIN * size:
+        yield (kind, start, end), total
+
+
 def touches(start: int, end: int, starts: list[int], reach: list[int]) -> bool:
     """Whether a pattern span overlaps: of those that start before ``end``, the furthest end (``reach``) tells."""
     i = bisect.bisect_left(starts, end)

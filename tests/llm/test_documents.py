@@ -159,6 +159,38 @@ def private_text(rng, spans):
     return " ".join(M.prose(rng, rng.randint(5, 20)) + " " + parts[rng.randrange(4)]() + " " for _ in range(spans)) + "end"
 
 
+@pytest.mark.parametrize("length", [60, 80, 100, 126, 128, 129, 190, 254])
+def test_added_spans_of_any_length_are_found_at_every_start(monkeypatch, length):
+    """The network is replaced by one that tags the span's characters in every window it is shown."""
+    for at in range(pii.STRIDE):
+        start = 300 + at
+        for middle in (10, length // 2, length - 12):
+            span = "a" * middle + " @ " + "b" * (length - middle - 7) + ".ccc"
+            text = "x " * (start // 2) + "x" * (start % 2) + span + " yy" * 150
+            shown = []
+
+            def tagged(model, texts, windows):
+                for row, w in windows:
+                    shown.append(w)
+                    left = w * pii.STRIDE
+                    a, b = max(start, left) - left, min(start + length, left + pii.WINDOW) - left
+                    if a < b:
+                        yield row, w, 0, a, b, 1.0
+
+            monkeypatch.setattr(pii, "stretches", tagged)
+            assert pii.network_spans({}, [text], [pii.base_spans(text)]) == [[(0, start, start + length)]], (at, middle)
+            assert len(shown) == len(set(shown)) <= 4 + length // pii.STRIDE
+
+
+def test_pieces_that_never_end_or_do_not_meet_are_no_spans():
+    whole = [(0, 10, 128, False, True, 118.0), (0, 64, 192, True, True, 128.0), (0, 128, 200, True, False, 72.0)]
+    assert list(pii.joined_pieces(whole)) == [((0, 10, 200), 318.0)]
+    assert list(pii.joined_pieces(whole[:2])) == [] and list(pii.joined_pieces(whole[1:])) == []
+    assert list(pii.joined_pieces([whole[0], whole[2]])) == []  # they touch, and the window between saw neither
+    assert list(pii.joined_pieces([(0, 10, 128, False, True, 1.0), (0, 64, 140, True, False, 1.0)])) == []  # weak
+    assert list(pii.joined_pieces([(0, 10, 128, False, True, 99.0), (1, 64, 140, True, False, 99.0)])) == []
+
+
 def test_the_network_finds_disguised_spans_and_leaves_clean_text_alone(spark):
     rng = random.Random(8)
     train = [(i, private_text(rng, 6)) for i in range(700)]
