@@ -16,14 +16,16 @@ partial aggregate, so a hot key is pre-reduced on the map side), then full-outer
 target on the keys. Each side is scanned once. NULL-key rows carry a value of their own beside the key,
 so they are spread over all tasks and never meet.
 
+The fold needs an order without ties: rows that share the first or the last place of their key would make
+the result depend on chance, so such a batch is refused (``TIED``). The check is part of the same aggregate.
+
 ``upsert_table`` applies this to a partitioned Parquet table and rewrites only the partitions the
-batch touches; see ``UpsertSpec.partition_by`` and ``touched_partitions``.
+batch touches, as one commit (``sources.commits``); see ``UpsertSpec.partition_by``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -33,14 +35,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.functions.clean import all_not_null, ntz_lit
+from snapmart.operators.keyindex import LEAF_ROWS, KeyIndex
 from snapmart.schemas import RAW_FIXTURES, RAW_PLAYERS, RAW_STANDINGS
-from snapmart.sources.rawstore import (_fs, ensure_table, literal, partition_dir, path_exists, read_table,
-                                       rebalanced)
+from snapmart.sources import commits
+from snapmart.sources.files import literal, partition_dir
 
 LOAD_COL = "_loaded_at"
 SPREAD = "_spread"
-STAGED, INDEX, APPLIED = "_staged", "_index", "_applied"  # beside the partitions; names with an underscore are no table data
-INDEX_BUCKETS = 256
+TIED = "the batch order has a tie: rows of one key share the first or the last place"
+#: Rows of a partition that one task writes.
+PIECE_ROWS = 1_000_000
+#: Commits of a table that stay readable after newer ones.
+KEEP_COMMITS = 10
+
 
 @dataclass(frozen=True)
 class UpsertSpec:
@@ -91,21 +98,30 @@ def fold_batch(batch: DataFrame, spec: UpsertSpec, cols: list[str], seq: str | C
     """One row per key: insert-only columns of the first row, update columns of the last. Columns
     ``beside`` the key tell rows apart that must not be folded.
 
-    ``seq`` orders the batch (the order the loop would have applied it) and must be unique per key.
+    ``seq`` orders the batch (the order the loop would have applied it). Of the rows of a key one must be first
+    and one last in it; other ties change nothing. The rows that share a place are told apart by a number of
+    their own: if the least and the greatest of these differ, there are several.
     """
     keys = [*spec.keys, *beside]
     ins = [c for c in spec.insert_only(cols) if c not in beside]
     upd = [c for c in spec.update_cols if c in cols]
-    order = _seq_col(seq)
+    order = _seq_col(seq).alias("s")
+    batch = batch.withColumn("_row", F.monotonically_increasing_id())
+    up, down = F.struct(order, F.col("_row").alias("r")), F.struct(order, (-F.col("_row")).alias("r"))
     aggs = []
     if ins:
-        aggs.append(F.min_by(F.struct(*ins), order).alias("_first"))
+        aggs += [F.min_by(F.struct(*ins), order).alias("_first"), F.min(up).alias("_a"), F.min(down).alias("_b")]
     if upd:
-        aggs.append(F.max_by(F.struct(*upd), order).alias("_last"))
+        aggs += [F.max_by(F.struct(*upd), order).alias("_last"), F.max(up).alias("_c"), F.max(down).alias("_d")]
     folded = batch.groupBy(*keys).agg(*aggs)
+
+    def picked(side: str, least: str, greatest: str, c: str) -> Column:
+        tied = F.col(f"{least}.r") != -F.col(f"{greatest}.r")
+        return F.when(tied, F.raise_error(F.lit(TIED))).otherwise(F.col(f"{side}.{c}")).alias(c)
+
     out = [F.col(k) for k in keys]
-    out += [F.col(f"_first.{c}").alias(c) for c in ins]
-    out += [F.col(f"_last.{c}").alias(c) for c in upd]
+    out += [picked("_first", "_a", "_b", c) for c in ins]
+    out += [picked("_last", "_c", "_d", c) for c in upd]
     return folded.select(*out)
 
 
@@ -145,117 +161,113 @@ def upsert_df(target: DataFrame, batch: DataFrame, spec: UpsertSpec, load_ts: dt
 
 
 # ------------------------------------------------------------------------------------------------
-# table form
-# ------------------------------------------------------------------------------------------------
-
-def touched_partitions(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertSpec) -> DataFrame:
-    """Distinct storage-partition values the batch can touch.
-
-    When the partition column is part of the key, a batch row can only meet rows of its own
-    partition. Otherwise the partition column is insert-only, so a stored row never leaves the
-    partition it was first written to: the batch's own values (new keys) plus the partitions where
-    its keys already live, read from the key index.
-    """
-    own = batch.select(spec.partition_by)
-    if spec.partition_by in spec.keys:
-        return own.distinct()
-    return own.unionByName(located(spark, path, batch, spec).select(spec.partition_by)).distinct()
-
-
-def index_rows(rows: DataFrame, spec: UpsertSpec) -> DataFrame:
-    bucket = F.pmod(F.xxhash64(*spec.keys), F.lit(INDEX_BUCKETS)).cast("int").alias("bucket")
-    keyed = rows.where(all_not_null(*spec.keys))
-    return keyed.select(*spec.keys, spec.partition_by, bucket).distinct()
-
-
-def key_index(spark: SparkSession, path: str, spec: UpsertSpec) -> DataFrame:
-    """(keys, partition) of all stored rows, partitioned by a hash of the key; built from the table once."""
-    where = f"{path}/{INDEX}"
-    schema = T.StructType([*[spec.schema[k] for k in spec.keys], spec.schema[spec.partition_by],
-                           T.StructField("bucket", T.IntegerType())])
-    if not path_exists(spark, f"{where}/_SUCCESS"):
-        rows = index_rows(read_table(spark, path, spec.schema), spec)
-        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(where)
-    return read_table(spark, where, schema)
-
-
-def located(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertSpec) -> DataFrame:
-    """Index rows of the batch's keys: only the index partitions of their hashes are read."""
-    wanted = index_rows(batch, spec)
-    buckets = [r[0] for r in wanted.select("bucket").distinct().collect()]  # at most INDEX_BUCKETS
-    found = key_index(spark, path, spec).where(F.col("bucket").isin(buckets))
-    return found.join(wanted.select(*spec.keys, "bucket"), [*spec.keys, "bucket"], "left_semi")
-
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, spec: UpsertSpec,
-                 load_ts: dt.datetime, seq: str | Column = "_seq", name: str | None = None) -> int:
+                 load_ts: dt.datetime, seq: str | Column = "_seq", name: str | None = None,
+                 days: DataFrame | None = None, leaf_rows: int = LEAF_ROWS, keep: int = KEEP_COMMITS) -> int:
     """Apply ``batch`` to the Parquet table at ``path``; returns the number of partitions rewritten.
 
-    Only partitions the batch can touch are read and rewritten; what reaches the driver is their
-    names. An empty batch returns before the table is touched. Single writer per table.
+    Only partitions the batch can touch are read and written. When the partition column is part of the key,
+    a batch row can only meet rows of its own partition. Otherwise the partition column is insert-only, so a
+    stored row never leaves the partition it was first written to, and the key index tells where a key lives.
+    What reaches the driver is the names of partitions and of index leaves.
 
-    The new partitions are staged beside the table and moved in once all are written. A run that dies
-    before that has changed nothing; one that dies while moving is completed by the next call, as the
-    staged copy is only removed when every partition is in place. A batch with a ``name`` is applied
-    once: its staged copy leaves a record, and a batch of that name is skipped from then on.
+    New partitions, the index's new leaves, the name of the batch and its days are one commit: a call that
+    dies before has changed nothing, whatever is loaded next, and readers see all or nothing. A batch with a
+    ``name`` is applied once. ``days`` (day, documents) are added to the table's record of loads. An empty batch
+    without days returns before anything is written. Single writer per table. The last ``keep`` commits
+    stay readable.
     """
     part = spec.partition_by
     if part is None or part in spec.update_cols:
         raise ValueError("the storage partition column must be a key or an insert-only column")
-    finish_staged(spark, path)
-    if name is not None and path_exists(spark, f"{path}/{APPLIED}/{name}"):
+    state = commits.current(spark, path)
+    if state.number:
+        commits.record_batch(spark, state)  # a call that died between its commit and this
+    if name is not None and commits.batch_applied(spark, path, name):
         return 0
     # The batch is read several times (touched partitions, index, upsert): keep it once.
     # A lost executor's cached blocks are recomputed from the batch's (deterministic) lineage.
     b = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if b.isEmpty():
+        empty = b.isEmpty()
+        if empty and (days is None or days.isEmpty()):
             return 0
-        ensure_table(spark, path, spec.schema, [part])
-        touched = touched_partitions(spark, path, b, spec).select(F.col(part).cast("string").alias("v"))
-        names = [partition_dir(spark, part, r["v"]) for r in touched.distinct().collect()]
-        target = read_partitions(spark, path, spec, names)
-        if part not in spec.keys:  # before the rows are in place: an index may know more, never less
-            known = located(spark, path, b, spec).drop("bucket")
-            new = index_rows(b, spec).join(known, list(spec.keys), "left_anti")
-            new.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/{INDEX}")
-        merged = rebalanced(upsert_df(target, b, spec, load_ts, seq).select(*spec.columns), [part])
-        staged = f"{path}/{STAGED}/{name or uuid.uuid4().hex}"
-        merged.write.mode("overwrite").partitionBy(part).parquet(staged)
+        commit_id = commits.new_commit()
+        index = KeyIndex(spark, state, spec.schema, spec.keys, part, leaf_rows) if part not in spec.keys else None
+        touched, written, leaves = (0, {}, None) if empty else _write(spark, state, b, spec, load_ts, seq, commit_id, index)
+        tables = {"days": _with_days(state.table(spark, "days", commits.DAYS), days)}
+        if index:
+            tables["leaves"] = spark.createDataFrame(index.leaves, index.leaf_type) if leaves is None else leaves
+        commits.commit(spark, state, commit_id, written, tables, name)
     finally:
         b.unpersist()
-    finish_staged(spark, path)
-    return len(names)
-
-
-def read_partitions(spark: SparkSession, path: str, spec: UpsertSpec, names: list[str]) -> DataFrame:
-    """Only the named partition directories; each is looked up by itself, and only a directory that is
-    not there counts as empty."""
-    there = [f"{path}/{n}" for n in names if path_exists(spark, f"{path}/{n}")]
-    if not there:
-        return spark.createDataFrame([], spec.schema)
-    reader = spark.read.schema(spec.schema).option("basePath", path)
-    return reader.parquet(*map(literal, there)).select(*spec.columns)
-
-
-def finish_staged(spark: SparkSession, path: str) -> None:
-    """Move completely staged partitions into place, and drop staged ones that were never completed.
-
-    A partition is replaced by deleting it and renaming its staged copy, so a crash in between leaves the
-    copy, and moving goes on with what is still staged.
-    """
-    root, fs = _fs(spark, f"{path}/{STAGED}")
-    if not fs.exists(root):
-        return
-    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    table = new(path)
-    for staged in sorted(fs.listStatus(root), key=lambda s: s.getModificationTime()):
-        if fs.exists(new(staged.getPath(), "_SUCCESS")):
-            for d in fs.listStatus(staged.getPath()):
-                if d.isDirectory() and "=" in d.getPath().getName():
-                    place = new(table, d.getPath().getName())
-                    fs.delete(place, True)
-                    if not fs.rename(d.getPath(), place):
-                        raise OSError(f"could not move {d.getPath()} to {place}")
-            fs.mkdirs(new(new(table, APPLIED), staged.getPath().getName()))
-        fs.delete(staged.getPath(), True)
+    commits.drop_old_commits(spark, path, keep)
+    return touched
+
+
+def _write(spark: SparkSession, state: commits.Version, b: DataFrame, spec: UpsertSpec, load_ts: dt.datetime,
+           seq: str | Column, commit_id: str, index: KeyIndex | None) -> tuple[int, dict[str, int], DataFrame | None]:
+    """Write the partitions and index leaves a batch changes; nothing refers to them yet. Returns how many
+    partitions it can touch, the rows of the directories written, and the leaves of the index."""
+    part, keys, has_key = spec.partition_by, list(spec.keys), all_not_null(*spec.keys)
+    own = b.select(part, F.lit(1).alias("n"))
+    if index:
+        stored = None
+        if state.live and not index.leaves:  # a table from before the index: its keys are read once
+            stored = commits.read_directories(spark, state, spec.schema).select(*keys, part).where(has_key).distinct()
+        known = stored.join(b.select(*keys), keys, "left_semi") if stored else index.located(b)
+        own = own.unionByName(known.select(part, F.lit(0).alias("n")))
+    touched = own.groupBy(F.col(part).cast("string").alias("v"), partition_dir(part).alias("d")).agg(
+        F.sum("n").alias("n")).collect()
+    target = commits.read_directories(spark, state, spec.schema, [r["d"] for r in touched])
+    pieces = {r["v"]: -(-(r["n"] + state.rows(r["d"])) // PIECE_ROWS) or 1 for r in touched}
+    merged = dealt(upsert_df(target, b, spec, load_ts, seq).select(*spec.columns), part, keys, pieces)
+    where = f"{state.path}/{commits.DATA}/commit={commit_id}"
+    commits.writer(merged, part).parquet(where)
+    # the partition column alone is counted from the files' footers
+    written = spark.read.schema(spec.schema).parquet(literal(where)).groupBy(part).agg(F.count("*").alias("n"))
+    written = {r["d"]: r["n"] for r in written.select(partition_dir(part).alias("d"), "n").collect()}
+    if not index:
+        return len(touched), written, None
+    new = b.where(has_key).groupBy(*keys).agg(F.min_by(part, _seq_col(seq)).alias(part)).join(known, keys, "left_anti")
+    return len(touched), written, index.updated(new.unionByName(stored) if stored else new, commit_id)
+
+
+def dealt(rows: DataFrame, part: str, keys: Sequence[str], pieces: dict[str | None, int]) -> DataFrame:
+    """Rows dealt to tasks by their partition, a partition of several ``pieces`` by its keys as well: a task writes
+    whole small partitions, and a large one is written by as many tasks as it has pieces. (Left to itself Spark
+    would gather thousands of small partitions in one task, as their bytes are few.)"""
+    several = {v: n for v, n in pieces.items() if n > 1}
+    cut = F.lit(0)
+    if several:
+        ways = F.create_map(*[F.lit(x) for v, n in several.items() for x in (v or "", n)])
+        of = F.coalesce(ways[F.coalesce(F.col(part).cast("string"), F.lit(""))], F.lit(1))
+        cut = F.pmod(F.hash(*keys, F.when(~all_not_null(*keys), F.monotonically_increasing_id())), of)
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(sum(pieces.values()), max(usual, sum(several.values())))
+    return rows.repartition(tasks, F.col(part), cut)
+
+
+def _with_days(days: DataFrame, more: DataFrame | None) -> DataFrame:
+    if more is None:
+        return days
+    new = more.select("day", F.lit(1).cast("bigint").alias("loads"), F.col("documents").cast("bigint").alias("documents"))
+    return days.unionByName(new).groupBy("day").agg(F.sum("loads").alias("loads"), F.sum("documents").alias("documents"))
+
+
+def load_record(spark: SparkSession, path: str) -> DataFrame:
+    """(day, loads, documents): the days a table's batches loaded, how often, and how many documents."""
+    return commits.current(spark, path).table(spark, "days", commits.DAYS)
+
+
+def load_gaps(record: DataFrame, first: str | dt.date, last: str | dt.date) -> DataFrame:
+    """(day, loads, documents, finding): the days of a period that were not loaded ('missing') or were
+    loaded more than once ('repeated')."""
+    period = record.sparkSession.range(1).select(F.explode(F.sequence(
+        F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))).alias("day"))
+    zero = F.lit(0).cast("bigint")
+    every = period.join(record, "day", "left").select(
+        "day", F.coalesce("loads", zero).alias("loads"), F.coalesce("documents", zero).alias("documents"))
+    finding = F.when(F.col("loads") == 0, F.lit("missing")).when(F.col("loads") > 1, F.lit("repeated"))
+    return every.withColumn("finding", finding).where(F.col("finding").isNotNull())

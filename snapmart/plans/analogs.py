@@ -576,10 +576,11 @@ def fixtures_target_sql() -> str:
 
 
 def fixture_lines_batch(t: Tables) -> DataFrame:
-    """Fixtures reported once per line item: up to seven rows per fixture, in line order."""
+    """Fixtures reported once per line item, up to seven rows per fixture in line order. Those that are not in
+    the target are first reported as their order says."""
     li = t.lineitem
     k, p, s = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    return li.select(
+    lines = li.select(
         k.alias("fixture_id"),
         (s % 5).alias("league_id"),
         F.to_date("l_shipdate").alias("date"),
@@ -591,9 +592,13 @@ def fixture_lines_batch(t: Tables) -> DataFrame:
         F.nullif(p % 3, F.lit(0)).alias("away_goals"),
         F.col("l_returnflag").alias("status"),
         _line_seq().alias("_seq"))
+    later = raw_fixtures(t).where(F.col("date") >= _d(DUPS_TARGET_BEFORE)).drop("_loaded_at")
+    none = F.struct(*[(F.lit(0) if c == LINE_SEQ[0] else F.lit(None)).cast(li.schema[c].dataType).alias(c) for c in LINE_SEQ])
+    return lines.unionByName(later.select(*[c for c in lines.columns if c != "_seq"], none.alias("_seq")))
 
 
 def fixture_lines_batch_sql() -> str:
+    before = ", ".join(f"'{c}': {'0' if c == LINE_SEQ[0] else 'NULL'}" for c in LINE_SEQ)
     return f"""
     SELECT l_orderkey AS fixture_id,
            l_suppkey % 5 AS league_id,
@@ -606,7 +611,11 @@ def fixture_lines_batch_sql() -> str:
            NULLIF(l_partkey % 3, 0) AS away_goals,
            l_returnflag AS status,
            {_line_seq_sql()} AS seq
-    FROM lineitem"""
+    FROM lineitem
+    UNION ALL
+    SELECT fixture_id, league_id, date, home_team_id, home_team_name, away_team_id, away_team_name, home_goals,
+           away_goals, status, {{{before}}} AS seq
+    FROM ({raw_fixtures_sql()}) WHERE date >= DATE '{DUPS_TARGET_BEFORE}'"""
 
 
 def dups_target(t: Tables) -> DataFrame:

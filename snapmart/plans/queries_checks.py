@@ -51,6 +51,75 @@ def q_check_report(spark, root):
     return _report(spark, root, ALL)
 
 
+def _names_sql(checks):
+    cases = []
+    for c in checks:
+        bad = f"{c.column} IS NULL" if c.kind == "not_null" else f"{c.column} NOT IN ({', '.join(map(str, c.values))})"
+        cases.append(f"CASE WHEN {bad} THEN '{c.column}:{c.kind}' END")
+    return f"concat_ws(',', {', '.join(cases)})"
+
+
+_Q_KEYS = ["snapshot_date", "team_id", "league_id"]
+
+
+def _quarantine_sql(model, src, checks):
+    names = _names_sql(checks)
+    return f"""SELECT '{model}' AS model, {', '.join(_Q_KEYS)}, {names} AS failed_checks, CAST(count(*) AS BIGINT) AS n_rows
+        FROM {src} WHERE {names} <> '' GROUP BY ALL"""
+
+
+_STAGED = (("stg_players", C.STG_PLAYERS_CHECKS, _stg_p, "stg_p"), ("stg_standings", C.STG_STANDINGS_CHECKS, _stg_s, "stg_s"))
+
+
+def _quarantined(spark, root):
+    """The reports and the stored rows of both staging models."""
+    def store(df):
+        path = scratch_path(spark, "quarantine")
+        append_table(df, path)
+        return read_table(spark, path, df.schema)
+
+    return [(name, *C.quarantine(model(spark, root), name, checks, store)) for name, checks, model, _ in _STAGED]
+
+
+@register("check_quarantine", Q.ctes(RS, RP, STG_S, STG_P, body=" UNION ALL ".join(
+    _quarantine_sql(name, src, checks) for name, checks, _, src in _STAGED)))
+def q_check_quarantine(spark, root):
+    """The stored failing rows of the staging models, counted by key and failed checks."""
+    parts = [rows.groupBy(F.lit(name).alias("model"), *_Q_KEYS, F.array_join("failed_checks", ",").alias("failed_checks"))
+             .agg(F.count("*").alias("n_rows")) for name, _, rows in _quarantined(spark, root)]
+    return parts[0].unionByName(parts[1])
+
+
+@register("check_quarantine_report", _report_sql(ALL))
+def q_check_quarantine_report(spark, root):
+    """The 13 column tests counted from the stored failing rows."""
+    (_, players, _), (_, standings, _) = _quarantined(spark, root)
+    return players.unionByName(standings)
+
+
+def _fan_out_sql(model, src):
+    return f"""SELECT '{model}' AS model, team_id, league_id, spellings, coalesce(n, 0) AS fact_rows,
+        coalesce(n, 0) * spellings AS joined_rows, least_name, greatest_name
+        FROM (SELECT team_id, league_id, count(*) AS spellings, min(team_name) AS least_name, max(team_name) AS greatest_name
+              FROM dim GROUP BY ALL HAVING count(*) > 1)
+        JOIN (SELECT team_id, league_id, count(*) AS n FROM {src} GROUP BY ALL) USING (team_id, league_id)
+        WHERE team_id IS NOT NULL AND league_id IS NOT NULL
+        UNION ALL
+        SELECT '{model}', team_id, league_id, spellings, 0, 0, least_name, greatest_name
+        FROM (SELECT team_id, league_id, count(*) AS spellings, min(team_name) AS least_name, max(team_name) AS greatest_name
+              FROM dim WHERE team_id IS NOT NULL AND league_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1) d
+        WHERE NOT EXISTS (SELECT 1 FROM {src} f WHERE f.team_id = d.team_id AND f.league_id = d.league_id)"""
+
+
+@register("fan_out_report", Q.ctes(RS, RP, STG_S, STG_P, LABELS, DIM, body=
+          f"{_fan_out_sql('fact_standings', 'stg_s')} UNION ALL {_fan_out_sql('fact_player_stats', 'stg_p')}"))
+def q_fan_out_report(spark, root):
+    """Teams spelled several ways in one league, and the fact rows that each of them multiplies."""
+    keys, dim = ["team_id", "league_id"], _dim(spark, root)
+    return C.fan_out(_stg_s(spark, root), dim, keys, "fact_standings").unionByName(
+        C.fan_out(_stg_p(spark, root), dim, keys, "fact_player_stats"))
+
+
 _FACTS = (("fs", Q.fact_standings_sql("stg_s", "dim")), ("fp", Q.fact_player_stats_sql("stg_p", "dim")))
 
 

@@ -109,6 +109,41 @@ def q_require_paths(spark, root):
                     F.col("home_goals").isNull().alias("goals_null"))
 
 
+# Every seventh page each: a path that is missing, a body that breaks off, a null response, a value of another type.
+_NO_PATH, _BROKEN, _NULL, _TYPE = 1, 2, 3, 4
+
+
+@register("reject_documents", f"""
+    WITH docs AS (
+      SELECT snapshot_date AS request_date, league_id, CAST(floor(player_id / {A.PAGE}.0) AS BIGINT) AS page,
+             CAST(count(*) AS BIGINT) AS n
+      FROM ({A.raw_players_sql()}) GROUP BY ALL
+    ), kinds AS (SELECT *, ((page % 7) + 7) % 7 AS kind FROM docs)
+    SELECT request_date, league_id, page,
+           CASE WHEN kind IN ({_BROKEN}, {_NULL}, {_NO_PATH}, {_TYPE}) THEN 0 ELSE n END AS n_rows,
+           CASE WHEN kind IN ({_NO_PATH}, {_TYPE}) THEN n WHEN kind IN ({_BROKEN}, {_NULL}) THEN 1 ELSE 0 END AS n_problems,
+           CASE kind WHEN {_NO_PATH} THEN '[0] missing: $.player.nationality' WHEN {_BROKEN} THEN 'malformed JSON'
+             WHEN {_NULL} THEN 'null: $.response'
+             WHEN {_TYPE} THEN '[0] not a bigint: $.statistics[0].goals.assists' END AS problem
+    FROM kinds""")
+def q_reject_documents(spark, root):
+    """Documents that load, with their rows, beside those that do not, with what is wrong with them."""
+    kind, body = F.pmod("page", F.lit(7)), F.col("body")
+    docs = A.players_feed(_t(spark, root)).withColumn(
+        "body", F.when(kind == _NO_PATH, F.replace(body, F.lit('"nationality"'), F.lit('"nation"')))
+        .when(kind == _BROKEN, F.expr("left(body, length(body) - 1)"))
+        .when(kind == _NULL, F.lit('{"response": null}'))
+        .when(kind == _TYPE, F.replace(body, F.lit('"assists":'), F.lit('"assists":"many","number":'))).otherwise(body))
+    accepted, rejected = L.split_documents(docs, "players")
+    rows = L.flatten_players(accepted)
+    page, zero = F.col("_seq._page").alias("page"), F.lit(0).cast("bigint")
+    loaded = rows.groupBy("_seq.request_date", "_seq.league_id", page).agg(F.count("*").alias("n_rows"))
+    return loaded.select("request_date", "league_id", "page", "n_rows", zero.alias("n_problems"),
+                         F.lit(None).cast("string").alias("problem")).unionByName(
+        rejected.select("request_date", "league_id", "page", zero.alias("n_rows"),
+                        F.size("problems").cast("bigint").alias("n_problems"), F.get("problems", F.lit(0)).alias("problem")))
+
+
 # ---- S5-S7 feed selection ------------------------------------------------------------------------
 
 LEAGUE_REGION = 1

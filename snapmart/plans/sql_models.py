@@ -164,12 +164,13 @@ def checks_sql(model: str, src: str, checks) -> str:
     parts = []
     for c in checks:
         if c.kind == "not_null":
-            m = f"count_if({c.column} IS NULL)"
+            m = n = f"count_if({c.column} IS NULL)"
         else:
             vals = ", ".join(str(v) for v in c.values)
             m = f"count(DISTINCT CASE WHEN {c.column} NOT IN ({vals}) THEN {c.column} END)"
+            n = f"count_if({c.column} NOT IN ({vals}))"
         parts.append(f"""SELECT '{model}' AS "model", '{c.column}' AS "column", '{c.kind}' AS "check",
-               CAST({m} AS BIGINT) AS failures FROM {src}""")
+               CAST({m} AS BIGINT) AS failures, CAST({n} AS BIGINT) AS failing_rows FROM {src}""")
     return "\n    UNION ALL ".join(parts)
 
 

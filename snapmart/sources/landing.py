@@ -312,6 +312,60 @@ def flatten_players(docs: DataFrame, strict: bool = True) -> DataFrame:
     return _typed_fields(x, PLAYER_FIELDS, keep, strict).select(*PLAYER_COLUMNS)
 
 
+# ------------------------------------------------------------------------------------------------
+# documents that would fail a load
+# ------------------------------------------------------------------------------------------------
+
+FEED_FIELDS = {"fixtures": FIXTURE_FIELDS, "standings": STANDING_FIELDS, "players": PLAYER_FIELDS}
+
+
+def with_problems(docs: DataFrame, feed: str) -> DataFrame:
+    """Documents with ``problems``: what the strict flattener of the feed would fail on, each with its path (and
+    the element's number); empty for a document that loads. Nothing is raised and nothing shuffled."""
+    parsed = docs.withColumn("_doc", F.try_parse_json("body"))
+    response = F.variant_get("_doc", "$.response", "variant")
+    elements = F.try_variant_get("_doc", "$.response", "array<variant>")
+    whole = [F.when(F.col("_doc").isNull(), F.lit("malformed JSON")),
+             F.when(F.try_variant_get("_doc", "$", "map<string,variant>").isNull(), F.lit("not an object: $")),
+             F.when(F.is_variant_null(response), F.lit("null: $.response")),
+             F.when(response.isNotNull() & elements.isNull(), F.lit("not an array: $.response"))]
+    if feed == "standings":
+        first = first_block(F.col("_elements"), 0)
+        for path, kind in (("$", "object"), ("$.league", "object"), ("$.league.standings", "array"),
+                           ("$.league.standings[0]", "array")):
+            there = F.variant_get(first, path, "variant")
+            whole += [F.when(F.is_variant_null(there), F.lit(f"null: response[0] {path}"))]
+            fits = F.try_variant_get(there, "$", "map<string,variant>" if kind == "object" else "array<variant>").isNotNull()
+            if path == "$.league.standings":  # an object there has no first group: no rows, no problem
+                fits = fits | F.try_variant_get(there, "$", "map<string,variant>").isNotNull()
+            whole += [F.when(there.isNotNull() & ~fits, F.lit(f"not an {kind}: response[0] {path}"))]
+        parsed = parsed.withColumn("_elements", elements)
+        elements = F.try_variant_get(first, STANDINGS_PATH[-1], "array<variant>")
+    first_problem = F.coalesce(*whole)
+
+    def of_element(e: Column, at: Column) -> Column:
+        found = []
+        for _, path, kind in FEED_FIELDS[feed]:
+            v = F.variant_get(e, path, "variant")
+            wrong = F.try_variant_get(e, path, kind).isNull() & ~F.is_variant_null(v)
+            text = F.when(v.isNull(), F.lit(f"missing: {path}")).when(wrong, F.lit(f"not a {kind}: {path}"))
+            found.append(F.when(text.isNotNull(), F.concat(F.lit("["), at.cast("string"), F.lit("] "), text)))
+        return F.array_compact(F.array(*found))
+
+    each = F.coalesce(F.flatten(F.transform(elements, of_element)), F.array().cast("array<string>"))
+    problems = F.when(first_problem.isNotNull(), F.array(first_problem)).otherwise(each)
+    return parsed.withColumn("problems", problems).drop("_doc", "_elements")
+
+
+def split_documents(docs: DataFrame, feed: str) -> tuple[DataFrame, DataFrame]:
+    """The documents that load, and those that do not (with ``problems``)."""
+    seen = with_problems(docs, feed)
+    fine = F.size("problems") == 0
+    # the body goes with its verdict: the optimiser may parse it before it applies the filter
+    accepted = seen.where(fine).withColumn("body", F.when(fine, F.col("body"))).drop("problems")
+    return accepted, seen.where(~fine)
+
+
 # ------------------------------------------------------------------------------------------------
 # context stamps
 # ------------------------------------------------------------------------------------------------

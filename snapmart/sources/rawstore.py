@@ -6,33 +6,14 @@ tables list their partition columns in ``partition_by``; readers prune on them.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def literal(path: str) -> str:
-    """A path as Spark's readers take it literally: they would expand glob characters in it."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-
-
-def partition_dir(spark: SparkSession, column: str, value: str | None) -> str:
-    """Directory name Spark writes for a partition value (given as Spark's own string of it)."""
-    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return str(utils.getPartitionPathString(column, value))
+from snapmart.sources import commits
+from snapmart.sources.files import file_system as _fs
+from snapmart.sources.files import literal, path_exists
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
@@ -52,7 +33,11 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Full typed scan (filters and projections applied later reach the Parquet reader)."""
+    """Full typed scan (filters and projections applied later reach the Parquet reader). Of a table with
+    commits it is the state of the newest one, whatever is committed while it is read."""
+    state = commits.latest(spark, path)
+    if state:
+        return commits.read_directories(spark, state, schema)
     return spark.read.schema(schema).parquet(literal(path)).select(*schema.fieldNames())
 
 

@@ -112,3 +112,61 @@ def test_cluster_settings_are_known_runtime_settings(spark):
     from snapmart.session import CLUSTER_CONF
     for key in CLUSTER_CONF:
         assert spark.conf.isModifiable(key), key
+
+
+def test_quarantine_holds_the_failing_rows_and_gives_the_same_report(spark, tmp_dir):
+    sp = staging.stg_players(players(spark, [dict(player_id=1, league_id=None), dict(player_id=2, league_id=7),
+                                             dict(player_id=3, league_id=7), dict(player_id=4, league_id=39)]))
+
+    def store(rows):
+        rows.write.parquet(f"{tmp_dir}/q")
+        return spark.read.parquet(f"{tmp_dir}/q")
+
+    report, rows = C.quarantine(sp, "stg_players", C.STG_PLAYERS_CHECKS, store)
+    assert sorted(report.collect()) == sorted(C.run_checks(sp, "stg_players", C.STG_PLAYERS_CHECKS).collect())
+    assert {(r.player_id, tuple(r.failed_checks)) for r in rows.collect()} == {
+        (1, ("league_id:not_null",)), (2, ("league_id:accepted_values",)), (3, ("league_id:accepted_values",))}
+    of = {(r.column, r.check): (r.failures, r.failing_rows) for r in report.collect()}
+    assert of["league_id", "accepted_values"] == (1, 2) and of["league_id", "not_null"] == (1, 1)
+
+
+def test_a_build_keeps_its_failing_rows_though_it_fails(spark, tmp_dir):
+    from snapmart.sources.rawstore import complete_versions, read_latest
+    with pytest.raises(C.CheckFailed):
+        jobs.build_from(standings(spark, [dict(league_id=7)]), players(spark, [{}]), tmp_dir, T0, quarantine=True)
+    assert len(complete_versions(spark, f"{tmp_dir}/quarantine_stg_standings")) == 1
+    schema = C.failing_rows(staging.stg_standings(standings(spark, [{}])), C.STG_STANDINGS_CHECKS).schema
+    assert [r.failed_checks for r in read_latest(spark, f"{tmp_dir}/quarantine_stg_standings", schema).collect()] \
+        == [["league_id:accepted_values"]]
+
+
+def test_fan_out_counts_without_joining_rows(spark):
+    dim = spark.createDataFrame([(1, 39, "A"), (1, 39, "a fc"), (2, 39, "B"), (3, 39, "C"), (3, 39, "D"), (3, 39, "E"),
+                                 (None, 39, "X"), (None, 39, "Y")], "team_id long, league_id long, team_name string")
+    facts = spark.createDataFrame([(1, 39)] * 5 + [(2, 39)] * 7 + [(None, 39)] * 3, "team_id long, league_id long")
+    out = C.fan_out(facts, dim, ["team_id", "league_id"], "m")
+    assert {tuple(r) for r in out.collect()} == {("m", 1, 39, 2, 5, 10, "A", "a fc"), ("m", 3, 39, 3, 0, 0, "C", "E")}
+    assert "BroadcastNestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_that_never_came_or_came_twice_are_told(spark, tmp_dir):
+    land, table = f"{tmp_dir}/landing", f"{tmp_dir}/raw"
+    for day in ("2024-08-01", "2024-08-02", "2024-08-04"):
+        L.land(spark.createDataFrame([(player_doc(1, 1), d(day), 39, 2024)], L.DOC_SCHEMA), land, "players")
+    run = [spark, land, "players", table, U.PLAYERS, L.flatten_players, f"{tmp_dir}/ckpt"]
+    assert stream_upsert(*run, load_ts=T0, max_bytes_per_trigger=1) == 3  # a long history is several batches
+    L.land(spark.createDataFrame([(player_doc(1, 2), d("2024-08-02"), 39, 2024),
+                                  ('{"response": []}', d("2024-08-05"), 39, 2024)], L.DOC_SCHEMA), land, "players")
+    assert stream_upsert(*run, load_ts=T0) == 1
+    record = U.load_record(spark, table)
+    assert {(r.day, r.loads, r.documents) for r in record.collect()} == {
+        (d("2024-08-01"), 1, 1), (d("2024-08-02"), 2, 2), (d("2024-08-04"), 1, 1), (d("2024-08-05"), 1, 1)}
+    gaps = U.load_gaps(record, "2024-08-01", "2024-08-06")
+    assert {(r.day, r.loads, r.finding) for r in gaps.collect()} == {
+        (d("2024-08-02"), 2, "repeated"), (d("2024-08-03"), 0, "missing"), (d("2024-08-06"), 0, "missing")}
+    assert U.load_record(spark, f"{tmp_dir}/none").count() == 0
+
+
+def test_the_backlog_is_bounded_unless_the_caller_says_otherwise(spark):
+    from snapmart.streaming.ingest import MAX_BYTES
+    assert isinstance(MAX_BYTES, int) and 0 < MAX_BYTES <= 1 << 40

@@ -7,10 +7,13 @@ import os
 
 import pytest
 from conftest import T0, T1, d
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_checks_stream import player_doc
 
 from snapmart.operators import upsert as U
+from snapmart.operators.keyindex import KeyIndex
+from snapmart.sources import commits
 from snapmart.sources import landing as L
 from snapmart.sources import rawstore as R
 from snapmart.streaming.ingest import query_id, stream_upsert
@@ -29,7 +32,7 @@ def batch(spark, spec, rows):
 
 
 def stored(spark, path, spec):
-    return sorted((r.id, r.x) for r in R.read_table(spark, path, spec.schema).collect())
+    return sorted(((r.id, r.x) for r in R.read_table(spark, path, spec.schema).collect()), key=repr)
 
 
 @pytest.mark.parametrize("folder", ["plain", "raw[prod]", "raw{a,b}", "raw*x"])
@@ -41,36 +44,198 @@ def test_timestamp_partitions_and_glob_characters_keep_stored_rows(spark, tmp_di
     assert stored(spark, path, TS_SPEC) == [(1, 9), (2, 2)]
 
 
-def test_a_crash_while_moving_partitions_is_completed_by_the_next_call(spark, tmp_dir, monkeypatch):
+ID_SPEC = U.UpsertSpec("t", DAY_SPEC.schema, ("id",), ("x",), partition_by="day")
+
+
+class Died(Exception):
+    pass
+
+
+def dies(monkeypatch, at: str) -> None:
+    """The next call dies at a step: before or after it writes data, index leaves, manifest, the commit itself."""
+    def raising(*args, **kwargs):
+        raise Died
+
+    def after(owner, what):
+        whole = getattr(owner, what)
+
+        def run(*args, **kwargs):
+            whole(*args, **kwargs)
+            raise Died
+        monkeypatch.setattr(owner, what, run)
+
+    if at == "before the data":
+        monkeypatch.setattr(U, "dealt", raising)
+    elif at == "after the data":
+        monkeypatch.setattr(KeyIndex, "updated", raising)
+    elif at == "after the index":
+        after(KeyIndex, "updated")
+    elif at == "before the manifest":
+        monkeypatch.setattr(commits, "commit", raising)
+    elif at == "after the manifest":
+        monkeypatch.setattr(commits, "committed", calls_then(commits.committed, 1, raising))
+    elif at == "after the commit":
+        monkeypatch.setattr(commits, "record_batch", calls_then(commits.record_batch, 1, raising))
+    else:
+        raise ValueError(at)
+
+
+def calls_then(whole, n, other):
+    left = [n]
+
+    def run(*args, **kwargs):
+        left[0] -= 1
+        return (whole if left[0] >= 0 else other)(*args, **kwargs)
+    return run
+
+
+BEFORE = ["before the data", "after the data", "after the index", "before the manifest", "after the manifest"]
+
+
+@pytest.mark.parametrize("at", [*BEFORE, "after the commit"])
+def test_a_crash_at_any_step_and_then_another_batch_leaves_one_row_a_key(spark, tmp_dir, monkeypatch, at):
     path = f"{tmp_dir}/t"
-    days = [d("2024-01-01"), d("2024-01-02")]
+    U.upsert_table(spark, path, batch(spark, ID_SPEC, [(d("2024-01-01"), 1, 10)]), ID_SPEC, T0)
+    lost = batch(spark, ID_SPEC, [(d("2024-01-02"), 2, 1), (d("2024-01-05"), 1, 11), (d("2024-01-02"), None, 7)])
+    with monkeypatch.context() as patched:
+        dies(patched, at)
+        with pytest.raises(Died):
+            U.upsert_table(spark, path, lost, ID_SPEC, T0, name="q-1")
+    committed = at == "after the commit"
+    assert stored(spark, path, ID_SPEC) == ([(1, 11), (2, 1), (None, 7)] if committed else [(1, 10)])
+    U.upsert_table(spark, path, batch(spark, ID_SPEC, [(d("2024-01-03"), 2, 2), (d("2024-01-03"), 3, 3)]), ID_SPEC, T1)
+    U.upsert_table(spark, path, batch(spark, ID_SPEC, [(d("2024-01-04"), 2, 3)]), ID_SPEC, T1)
+    rows = {(r.id, r.day, r.x) for r in R.read_table(spark, path, ID_SPEC.schema).where("id > 1").collect()}
+    assert rows == {(2, d("2024-01-02" if committed else "2024-01-03"), 3), (3, d("2024-01-03"), 3)}
+    # the batch that died is loaded again under its name: once in all
+    U.upsert_table(spark, path, lost, ID_SPEC, T1, name="q-1")
+    U.upsert_table(spark, path, lost, ID_SPEC, T1, name="q-1")
+    want = [(1, 11), (2, 3 if committed else 1), (3, 3), (None, 7)]
+    assert stored(spark, path, ID_SPEC) == sorted(want, key=repr)
+    index = KeyIndex(spark, commits.current(spark, path), ID_SPEC.schema, ID_SPEC.keys, "day")
+    assert sorted(r[0] for r in index.read(range(len(index.leaves))).collect()) == [1, 2, 3]
+
+
+def test_a_reader_sees_the_table_before_or_after_an_upsert(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t"
+    days = [d(f"2024-01-{i:02d}") for i in range(1, 7)]
     U.upsert_table(spark, path, batch(spark, DAY_SPEC, [(x, 1, 1) for x in days]), DAY_SPEC, T0)
-    whole = U.finish_staged
-    calls = []
-
-    def dies(spark, path):
-        calls.append(1)
-        if len(calls) == 2:  # after staging, before anything is moved
-            raise KeyboardInterrupt
-        whole(spark, path)
-
-    monkeypatch.setattr(U, "finish_staged", dies)
-    with pytest.raises(KeyboardInterrupt):
-        U.upsert_table(spark, path, batch(spark, DAY_SPEC, [(x, 1, 5) for x in days] + [(None, 7, 7)]), DAY_SPEC, T1,
-                       name="q-1")
-    monkeypatch.setattr(U, "finish_staged", whole)
-    # the batch is replayed under its name: it is completed, and its NULL-key row is there once
-    assert U.upsert_table(spark, path, batch(spark, DAY_SPEC, [(x, 1, 5) for x in days] + [(None, 7, 7)]), DAY_SPEC,
-                          T1, name="q-1") == 0
-    assert stored(spark, path, DAY_SPEC) == [(1, 5), (1, 5), (7, 7)]
-
-
-def test_an_incomplete_staged_copy_changes_nothing(spark, tmp_dir):
+    open_ = R.read_table(spark, path, DAY_SPEC.schema)
+    seen = []
+    whole = commits.commit
+
+    def look_first(*args, **kwargs):
+        seen.append(stored(spark, path, DAY_SPEC))  # all files of the new state are written here
+        return whole(*args, **kwargs)
+
+    monkeypatch.setattr(commits, "commit", look_first)
+    U.upsert_table(spark, path, batch(spark, DAY_SPEC, [(x, 1, 2) for x in days[1:]]), DAY_SPEC, T1)
+    assert seen == [[(1, 1)] * 6]
+    assert sorted((r.id, r.x) for r in open_.collect()) == [(1, 1)] * 6  # opened before, read after
+    assert stored(spark, path, DAY_SPEC) == [(1, 1)] + [(1, 2)] * 5
+
+
+def test_a_second_writer_is_refused(spark, tmp_dir, monkeypatch):
     path = f"{tmp_dir}/t"
     U.upsert_table(spark, path, batch(spark, DAY_SPEC, [(d("2024-01-01"), 1, 1)]), DAY_SPEC, T0)
-    os.makedirs(f"{path}/_staged/dead/day=2024-01-01")
-    U.finish_staged(spark, path)
-    assert stored(spark, path, DAY_SPEC) == [(1, 1)] and not os.path.exists(f"{path}/_staged/dead")
+    whole = U._write
+
+    def meanwhile(*args, **kwargs):
+        monkeypatch.setattr(U, "_write", whole)
+        U.upsert_table(spark, path, batch(spark, DAY_SPEC, [(d("2024-01-01"), 2, 2)]), DAY_SPEC, T0)
+        return whole(*args, **kwargs)
+
+    monkeypatch.setattr(U, "_write", meanwhile)
+    with pytest.raises(RuntimeError, match="another writer"):
+        U.upsert_table(spark, path, batch(spark, DAY_SPEC, [(d("2024-01-01"), 3, 3)]), DAY_SPEC, T0)
+    assert stored(spark, path, DAY_SPEC) == [(1, 1), (2, 2)]
+
+
+def test_old_commits_go_and_the_last_ones_stay_readable(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    reads = []
+    for i in range(5):
+        U.upsert_table(spark, path, batch(spark, ID_SPEC, [(d("2024-01-01"), 1, i), (d(f"2024-01-{i + 2:02d}"), i + 2, i)]),
+                       ID_SPEC, T0, keep=2)
+        reads.append(R.read_table(spark, path, ID_SPEC.schema))
+    assert len(commits.committed(spark, path)) == 2
+    assert sorted((r.id, r.x) for r in reads[3].collect())[0] == (1, 3)
+    assert stored(spark, path, ID_SPEC) == [(1, 4), (2, 0), (3, 1), (4, 2), (5, 3), (6, 4)]
+    kept = glob.glob(f"{path}/_data/commit=*/day=2024-01-01")
+    assert len(kept) == 2  # the day every batch rewrote, as of the last two commits
+    index = KeyIndex(spark, commits.current(spark, path), ID_SPEC.schema, ID_SPEC.keys, "day")
+    assert index.read(range(len(index.leaves))).count() == 6
+
+
+def test_a_plain_table_is_taken_over(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    rows = [(d("2024-01-01"), 1, 1, T0), (d("2024-01-02"), 2, 2, T0), (None, 3, 3, T0)]
+    R.append_table(spark.createDataFrame(rows, DAY_SPEC.schema), path, ["day"])
+    U.upsert_table(spark, path, batch(spark, ID_SPEC, [(d("2024-01-09"), 2, 9), (None, 4, 4)]), ID_SPEC, T1)
+    got = {(r.id, r.day, r.x) for r in R.read_table(spark, path, ID_SPEC.schema).collect()}
+    assert got == {(1, d("2024-01-01"), 1), (2, d("2024-01-02"), 9), (3, None, 3), (4, None, 4)}
+    U.upsert_table(spark, path, batch(spark, ID_SPEC, [(d("2024-01-09"), 3, 8), (d("2024-01-09"), 1, 7)]), ID_SPEC, T1)
+    assert stored(spark, path, ID_SPEC) == [(1, 7), (2, 9), (3, 8), (4, 4)]
+
+
+def test_the_index_grows_by_splitting_leaves_and_a_batch_reads_its_own(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+
+    def load(lo, hi, step=1, day="2024-01-01"):
+        rows = spark.range(lo, hi, step).selectExpr(f"DATE'{day}' AS day", "id", "id AS x", "id AS _seq")
+        U.upsert_table(spark, path, rows, ID_SPEC, T0, leaf_rows=500)
+        return KeyIndex(spark, commits.current(spark, path), ID_SPEC.schema, ID_SPEC.keys, "day", 500)
+
+    first = load(0, 20_000, 2)
+    assert 20 <= len(first.leaves) <= 60 and max(r["n"] for r in first.leaves) <= 750
+    second = load(1, 20_000, 2, "2024-01-02")
+    assert len(second.leaves) > len(first.leaves) and max(r["n"] for r in second.leaves) <= 750
+    third = load(20_000, 20_010, 1, "2024-01-03")  # keys at the end touch one leaf
+    assert len({(r["commit"], r["leaf"]) for r in third.leaves} - {(r["commit"], r["leaf"]) for r in second.leaves}) == 1
+    assert sum(r["n"] for r in third.leaves) == 20_010
+    lows = [r["least"][0] for r in third.leaves]
+    assert lows == sorted(lows)
+    near = third.located(spark.range(7000, 7200).toDF("id"))
+    assert near.count() == 200 and len(near.inputFiles()) <= 4
+    far = third.located(spark.createDataFrame([(-5,), (3,), (19_999,), (10 ** 9,)], "id long"))
+    assert sorted((r[0], r[1]) for r in far.collect()) == [(3, d("2024-01-02")), (19_999, d("2024-01-02"))]
+    assert len(far.inputFiles()) <= 4
+    text = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in text.lower()  # the leaves' least keys are a constant
+
+
+def test_a_large_partition_is_written_by_several_tasks_and_small_ones_together(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(U, "PIECE_ROWS", 1000)
+    path = f"{tmp_dir}/t"
+    rows = spark.range(6000).selectExpr("IF(id < 4000, DATE'2024-01-01', date_add(DATE'2024-01-02', CAST(id % 20 AS INT))) AS day",
+                                        "IF(id % 9 = 0, NULL, id) AS id", "id AS x", "id AS _seq")
+    assert U.upsert_table(spark, path, rows, DAY_SPEC, T0) == 21
+    assert 2 <= len(glob.glob(f"{path}/_data/commit=*/day=2024-01-01/*.parquet")) <= 4
+    assert len(glob.glob(f"{path}/_data/commit=*/day=2024-01-02/*.parquet")) == 1
+    assert commits.latest(spark, path).rows("day=2024-01-01") == 4000
+    U.upsert_table(spark, path, batch(spark, DAY_SPEC, [(d("2024-01-01"), 1, -1), (None, 8, 8)]), DAY_SPEC, T1)
+    got = R.read_table(spark, path, DAY_SPEC.schema)
+    assert got.count() == 6001 and got.where("x = -1").count() == 1 and got.where("day IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("rows", [[(5, 1), (5, 2)], [(9, 1), (9, 2), (1, 5)], [(1, 1), (1, 2), (9, 5)]])
+def test_a_tied_order_is_refused(spark, tmp_dir, rows):
+    schema = "day date, id long, x long, _seq long"
+    tied = spark.createDataFrame([(d("2024-01-01"), 1, x, s) for s, x in rows], schema)
+    spec = U.UpsertSpec("t", DAY_SPEC.schema, ("id",), ("x",), partition_by="day")
+    with pytest.raises(Exception, match="the batch order has a tie"):
+        U.upsert_table(spark, f"{tmp_dir}/t", tied, spec, T0)
+    assert commits.committed(spark, f"{tmp_dir}/t") == []
+
+
+def test_a_tie_inside_a_hot_key_is_refused(spark):
+    rows = spark.range(30_000).selectExpr(
+        "DATE'2024-01-01' AS day", "IF(id % 3 = 0, 0L, id) AS id", "id AS x", "IF(id = 29997, 29994L, id) AS _seq")
+    target = spark.createDataFrame([], DAY_SPEC.schema)
+    with pytest.raises(Exception, match="the batch order has a tie"):
+        U.upsert_df(target, rows, DAY_SPEC, T0).collect()
+    whole = rows.withColumn("_seq", rows._seq + F.when(rows.x == 29997, 3).otherwise(0))
+    assert U.upsert_df(target, whole, DAY_SPEC, T0).where("id = 0").first().x == 29997
 
 
 def land(spark, root, pid, goals=1):
@@ -144,14 +309,3 @@ def test_a_rebuild_of_an_older_run_is_the_one_read(spark, tmp_dir):
     R.publish_version(df, f"{tmp_dir}/m", "v20240802")
     R.publish_version(df.where("id > 0"), f"{tmp_dir}/m", "v20240801")
     assert R.read_latest(spark, f"{tmp_dir}/m", df.schema).count() == 2
-
-
-def test_a_key_index_reads_only_the_partitions_of_the_batch(spark, tmp_dir):
-    spec = U.UpsertSpec("t", DAY_SPEC.schema, ("id",), ("x",), partition_by="day")
-    path = f"{tmp_dir}/t"
-    U.upsert_table(spark, path, batch(spark, spec, [(d(f"2024-01-{i:02d}"), i, i) for i in range(1, 9)]), spec, T0)
-    moved = batch(spark, spec, [(d("2024-02-01"), 3, 30), (d("2024-02-01"), 99, 99)])
-    plan = U.located(spark, path, moved, spec)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [bucket" in plan.replace("PartitionFilters: [isnotnull(bucket", "PartitionFilters: [bucket")
-    assert U.upsert_table(spark, path, moved, spec, T1) == 2  # the day key 3 lives in, and the batch's own
-    assert stored(spark, path, spec) == sorted([(i, i) for i in range(1, 9) if i != 3] + [(3, 30), (99, 99)])

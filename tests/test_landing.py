@@ -148,3 +148,83 @@ def test_response_shape_errors_fail_as_the_loader_would(spark):
     assert L.flatten_standings(docs(spark, [{"response": [{"league": {"standings": {"a": 1}}}]}])).count() == 0
     # non-strict mode never raises on shape
     assert L.flatten_standings(docs(spark, [{"response": [1]}]), strict=False).count() == 0
+
+
+# ---- documents that do not load -----------------------------------------------------------------------
+
+def _bodies():
+    import json
+    p = {"player": {"id": 1, "name": "P", "age": 20, "nationality": "X"},
+         "statistics": [{"team": {"id": 1, "name": "A"}, "games": {"appearences": 1, "rating": None},
+                         "goals": {"total": 1, "assists": 0}, "cards": {"yellow": 0, "red": 0}}]}
+    no_block = {**p, "statistics": []}
+    no_team = {**p, "statistics": [{**p["statistics"][0], "team": {"id": 1}}]}
+    text = {**p, "player": {**p["player"], "age": "old"}}
+    return {
+        "fine": json.dumps({"response": [p, p]}), "empty": '{"response": []}', "absent": '{"errors": 1}',
+        "broken": json.dumps({"response": [p]})[:-1], "null": '{"response": null}', "object": '{"response": {"a": 1}}',
+        "second": json.dumps({"response": [p, no_team]}), "no block": json.dumps({"response": [no_block]}),
+        "type": json.dumps({"response": [text, p, no_team]}), "list": "[1]", "nothing": ""}
+
+
+def test_problems_are_those_the_strict_flattener_fails_on(spark):
+    bodies = _bodies()
+    docs = spark.createDataFrame([(b, d("2024-08-01"), 39, 2024, n) for n, b in bodies.items()],
+                                 "body string, request_date date, league_id long, season long, name string")
+    found = {r["name"]: r["problems"] for r in L.with_problems(docs, "players").collect()}
+    assert found["fine"] == found["empty"] == found["absent"] == []
+    assert found["broken"] == ["malformed JSON"] and found["null"] == ["null: $.response"]
+    assert found["object"] == ["not an array: $.response"]
+    assert found["second"] == ["[1] missing: $.statistics[0].team.name"]
+    assert found["type"] == ["[0] not a bigint: $.player.age", "[2] missing: $.statistics[0].team.name"]
+    assert len(found["no block"]) == 8 and found["nothing"] == ["malformed JSON"] and found["list"] == ["not an object: $"]
+    for name in ("fine", "empty", "absent", "broken", "null", "object", "second", "no block", "type"):
+        one = spark.createDataFrame([(bodies[name], d("2024-08-01"), 39, 2024)], L.DOC_SCHEMA)
+        rows = L.flatten_players(one)
+        if found[name]:
+            with pytest.raises(Exception):
+                rows.collect()
+        else:
+            assert rows.count() == (2 if name == "fine" else 0)
+    accepted, rejected = L.split_documents(docs, "players")
+    assert L.flatten_players(accepted).count() == 2 and rejected.count() == len(bodies) - 3
+
+
+def test_standings_problems_follow_the_path(spark):
+    import json
+    team = {"rank": 1, "team": {"id": 1, "name": "A"}, "points": 3, "goalsDiff": 1, "form": None,
+            "all": {"played": 1, "win": 1, "draw": 0, "lose": 0, "goals": {"for": 1, "against": 0}}}
+    bodies = [({"response": [{"league": {"standings": [[team]]}}]}, []),
+              ({"response": [{"league": {"standings": []}}]}, []), ({"response": [{}]}, []),
+              ({"response": [{"league": None}]}, ["null: response[0] $.league"]),
+              ({"response": [{"league": {"standings": "x"}}]}, ["not an array: response[0] $.league.standings"]),
+              ({"response": [{"league": {"standings": [None]}}]}, ["null: response[0] $.league.standings[0]"]),
+              ({"response": [{"league": {"standings": [[{**team, "points": "many"}]]}}]}, ["[0] not a bigint: $.points"])]
+    for body, want in bodies:
+        docs = spark.createDataFrame([(json.dumps(body), d("2024-08-01"), 39, 2024)], L.DOC_SCHEMA)
+        assert L.with_problems(docs, "standings").first().problems == want
+        if want:
+            with pytest.raises(Exception):
+                L.flatten_standings(docs).collect()
+        else:
+            L.flatten_standings(docs).collect()
+
+
+def test_a_load_puts_refused_documents_aside_loads_the_rest_and_fails(spark, tmp_dir):
+    import datetime as dt
+
+    from snapmart.plans import jobs
+    from snapmart.schemas import RAW_PLAYERS
+    from snapmart.sources.rawstore import read_table
+    bodies = _bodies()
+    docs = [(bodies[n], d("2024-08-01"), 39, 2024) for n in ("fine", "second", "null")]
+    L.land(spark.createDataFrame(docs, L.DOC_SCHEMA), f"{tmp_dir}/l", "players")
+    args = [spark, f"{tmp_dir}/l", f"{tmp_dir}/raw", "players", "2024-08-01", dt.datetime(2024, 8, 1, 6)]
+    for _ in range(2):
+        with pytest.raises(jobs.DocumentsRejected, match="2 documents"):
+            jobs.load_feed(*args, errors_root=f"{tmp_dir}/errors")
+        assert read_table(spark, f"{tmp_dir}/raw/raw_players", RAW_PLAYERS).count() == 1
+    stored = spark.read.parquet(f"{tmp_dir}/errors/players")
+    assert sorted(r.problems[0] for r in stored.collect()) == ["[1] missing: $.statistics[0].team.name", "null: $.response"]
+    gaps = jobs.load_report(spark, f"{tmp_dir}/raw", "players", "2024-07-31", "2024-08-01")
+    assert {(str(r.day), r.finding) for r in gaps.collect()} == {("2024-07-31", "missing"), ("2024-08-01", "repeated")}

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.operators import upsert as U
+from snapmart.operators.keyindex import KeyIndex
+from snapmart.sources import commits
 from snapmart.sources.rawstore import path_exists, read_table
 
 SCHEMA = T.StructType([
@@ -172,11 +174,15 @@ def test_stored_keys_are_located_in_the_index_of_an_existing_table(spark, tmp_di
         .write.partitionBy("day").parquet(path)
     spec = U.UpsertSpec("f", PSCHEMA, ("k",), ("score",), partition_by="day")
     batch = pbatch(spark, [(d("2024-03-01"), 5, "x", 1), (d("2024-03-01"), 77, "y", 2)])
-    tp = U.touched_partitions(spark, path, batch, spec)
-    assert sorted(r[0] for r in tp.collect()) == [d("2024-01-06"), d("2024-01-18"), d("2024-03-01")]
-    plan = tp._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.split("\n") if "FileScan parquet" in line]
-    assert scans and all("PartitionFilters" in s and "bucket" in s and "name" not in s for s in scans), plan
+    assert U.upsert_table(spark, path, batch, spec, T1, leaf_rows=100) == 3  # two stored days and the batch's own
+    rows = read_table(spark, path, PSCHEMA)
+    assert rows.count() == 1000 and {(r.day, r.k, r.score) for r in rows.where("_loaded_at > '2024-01-02'").collect()} \
+        == {(d("2024-01-06"), 5, 1), (d("2024-01-18"), 77, 2)}
+    index = KeyIndex(spark, commits.current(spark, path), PSCHEMA, ("k",), "day")
+    assert sum(r["n"] for r in index.leaves) == 1000 and len(index.leaves) >= 10
+    found = index.located(batch)
+    assert sorted(r[1] for r in found.collect()) == [d("2024-01-06"), d("2024-01-18")]
+    assert len(found.inputFiles()) <= 2, found.inputFiles()
 
 
 day = st.sampled_from([d("2024-01-01"), d("2024-01-02"), d("2024-01-03")])
