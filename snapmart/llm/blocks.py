@@ -10,6 +10,11 @@ travel as one packed array for each range of the key space (a part):
 Spark shuffles and sorts these rows; numpy works inside a row. Keys are hashes, so parts are even, and
 a key however hot is asked for once by a block. A block is bounded by ``BLOCK_CHARS`` and a part by
 ``PART_KEYS`` whatever the corpus; their numbers grow with it.
+
+Were every block to send a row to every part, rows would grow with the square of the corpus. ``exchange`` lets a
+block send at most ``WIDE`` rows: with more parts than that, keys go to ranges of parts first, where the
+rows of as many blocks as a range has parts meet and go on together, one row a part; answers come back the same
+way. Rows then grow with the blocks.
 """
 
 from __future__ import annotations
@@ -30,6 +35,8 @@ from snapmart.llm.common import id_and_text, id_type, stored
 
 BLOCK_CHARS = 2_000_000
 PART_KEYS = 1_000_000
+#: Rows a block sends at most.
+WIDE = 256
 
 #: Fixed value: upper-case ASCII letters to lower case, on UTF-8 bytes.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -176,6 +183,61 @@ def answer(asks: DataFrame, answered: Callable[[np.ndarray, list[np.ndarray]], t
     return asks.groupBy("part").applyInPandas(run, "block bigint, part bigint, answer binary")
 
 
+def exchange(blocks: DataFrame, asked: Callable[[dict], tuple], answered: Callable[[np.ndarray, list[np.ndarray]], tuple],
+             types: list, dtype, parts: int, wide: int = WIDE) -> DataFrame:
+    """(block, part, answer) for the keys blocks ask for; see ``ask`` and ``answer``. ``dtype`` is that of answers."""
+    if parts <= wide:
+        return answer(ask(blocks, asked, parts, len(types)), answered, types)
+    step = -(-parts // wide)  # parts of a range, and blocks of a region
+    extra = [f"x{i}" for i in range(len(types))]
+
+    def by_range(block: dict):
+        keys, columns = asked(block)
+        return keys, columns, part_of(keys, parts) // step
+
+    regions = -(-blocks.count() // step)
+    region = F.pmod(F.xxhash64("block"), F.lit(regions)).cast("bigint")
+    asks = ask(blocks, by_range, parts, len(types)).withColumnRenamed("part", "range").withColumn("region", region)
+
+    def dealt(group: pd.DataFrame) -> pd.DataFrame:
+        keys = [unpack_sorted(x) for x in group["keys"]]
+        block = np.repeat(group["block"].to_numpy(), [len(k) for k in keys])
+        key = np.concatenate(keys)
+        columns = [np.concatenate([unpack(x, t) for x in group[c]]) for c, t in zip(extra, types)]
+        part = part_of(key, parts)
+        order = np.argsort(part, kind="stable")  # a block's keys stay together and in order
+        names, cuts = part_edges(part[order])
+        rows = []
+        for a, b in cuts:
+            at = order[a:b]
+            first = np.flatnonzero(np.diff(block[at], prepend=block[at][:1] - 1))
+            rows.append((pack(block[at][first]), pack(np.diff(first, append=len(at))), pack_sorted(key[at]),
+                         *(pack(c[at]) for c in columns)))
+        out = pd.DataFrame(rows, columns=["who", "sizes", "keys", *extra])
+        return out.assign(region=group["region"].iloc[0], range=group["range"].iloc[0], part=names)
+
+    def told(group: pd.DataFrame) -> pd.DataFrame:
+        keys = [unpack_sorted(x) for x in group["keys"]]
+        columns = [np.concatenate([unpack(x, t) for x in group[c]]) for c, t in zip(extra, types)]
+        out = np.split(answered(np.concatenate(keys), columns), np.cumsum([len(k) for k in keys])[:-1])
+        return group[["region", "range", "part", "who", "sizes"]].assign(answer=[pack(x.astype(dtype)) for x in out])
+
+    def back(group: pd.DataFrame) -> pd.DataFrame:
+        found: dict[int, list[np.ndarray]] = {}
+        for row in group.sort_values("part").itertuples():
+            sizes = unpack(row.sizes, np.int64)
+            for who, some in zip(unpack(row.who, np.int64).tolist(), np.split(unpack(row.answer, dtype), np.cumsum(sizes)[:-1])):
+                found.setdefault(who, []).append(some)
+        return pd.DataFrame({"block": list(found), "part": group["range"].iloc[0],
+                             "answer": [pack(np.concatenate(x)) for x in found.values()]})
+
+    place = "region bigint, range bigint, part bigint, who binary, sizes binary"
+    columns = "".join(f", {c} binary" for c in extra)
+    met = asks.groupBy("region", "range").applyInPandas(dealt, f"{place}, keys binary{columns}")
+    answers = met.groupBy("part").applyInPandas(told, f"{place}, answer binary")
+    return answers.groupBy("region", "range").applyInPandas(back, "block bigint, part bigint, answer binary")
+
+
 def with_answers(blocks: DataFrame, **answers: DataFrame) -> DataFrame:
     """Blocks with one array column of answers for each name, in part order."""
     out = blocks

@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.blocks import (LOWER, answer, ask, chained, joined, part_count, texts_of, to_blocks, with_answers,
-                                 word_hashes)
+from snapmart.llm.blocks import (BLOCK_CHARS, LOWER, PART_KEYS, WIDE, chained, exchange, joined, part_count, texts_of,
+                                 to_blocks, with_answers, word_hashes)
 from snapmart.llm.common import id_type, sha256, stored
 
 WORDS = 5
@@ -37,6 +37,8 @@ PERCENT = 75
 NAME_BITS = 48
 MAX_FREQUENCY = 65_535  # larger frequencies are equal in the order
 FRAGMENTS = 8
+#: A component is hot with more than one in this many of the classes.
+HOT_SHARE = 1000
 
 
 def shingles(raw: bytes, words: int = WORDS) -> np.ndarray:
@@ -70,11 +72,12 @@ def block_names(sets: list[np.ndarray], first: list[int]) -> tuple[np.ndarray, n
     return np.unique(np.concatenate(every), return_counts=True) if every else (np.zeros(0, np.uint64),) * 2
 
 
-def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def profiles(docs: DataFrame, id_col: str, text_col: str, block_chars: int = BLOCK_CHARS, part_keys: int = PART_KEYS,
+             wide: int = WIDE) -> DataFrame:
     """doc_id, copy (digest of the text), n_shingles, node (class), and for the first live document of a class
     in its block: alone (shingles no other document has) and grams (the others with their frequency, in
     global order)."""
-    blocks = to_blocks(docs, id_col, text_col)
+    blocks = to_blocks(docs, id_col, text_col, block_chars)
 
     def asked(block: dict):
         sets, _, first = block_sets(block)
@@ -86,8 +89,7 @@ def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         total = np.bincount(inverse, columns[0])
         return np.minimum(total, MAX_FREQUENCY)[inverse].astype(np.uint16)
 
-    asks = ask(blocks, asked, part_count(blocks, 0.15))
-    answers = answer(asks, answered, [np.uint32])
+    answers = exchange(blocks, asked, answered, [np.uint32], np.uint16, part_count(blocks, 0.15, part_keys), wide)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,10 +238,10 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         labels = after.select("node", "label")
 
 
-def members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def members(docs: DataFrame, id_col: str, text_col: str, **sizes: int) -> DataFrame:
     """One row per document: doc_id, copy, n_shingles, node (null without words), component_id, and keeper,
     the copy that stands for the component (of its rows with the smallest id, the smallest)."""
-    profile = profiles(docs, id_col, text_col)
+    profile = profiles(docs, id_col, text_col, **sizes)
     live = live_classes(profile)
     cut, prefix = segments(live, fragment_edges(live)), prefixes(live)
     tried = stored(central_pairs(prefix), "central_pairs")
@@ -251,19 +253,32 @@ def members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     classes = profile.where(F.col("n_shingles") > 0).groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "copy")).alias("first"))
-    classes = classes.join(labels, "node", "left").select(
-        "node", "first", F.coalesce("label", "node").alias("label"))
-    smallest = classes.groupBy("label").agg(F.min("first").alias("one"))
-    of_class = classes.join(smallest, "label").select(
+    classes = stored(classes.join(labels, "node", "left").select(
+        "node", "first", F.coalesce("label", "node").alias("label")), "classes")
+    of_class = with_smallest(classes).select(
         "node", F.col("one.doc_id").alias("component_id"), F.col("one.copy").alias("keeper"))
     rows = profile.select("doc_id", "copy", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
     return rows.join(of_class, "node", "left").select(
         "doc_id", "copy", "n_shingles", "node", F.coalesce("component_id", "doc_id").alias("component_id"), "keeper")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
-    return members(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+def with_smallest(classes: DataFrame) -> DataFrame:
+    """Classes with the smallest first row of their component. The few components that hold over a thousandth of the
+    classes each (fewer than HOT_SHARE) are broadcast, so their classes do not meet in one task."""
+    found = stored(classes.groupBy("label").agg(F.min("first").alias("one"), F.count("*").alias("n")), "components")
+    total = classes.count()
+    hot = F.broadcast(found.where(F.col("n") * HOT_SHARE > total).drop("n"))
+    rest = found.where(F.col("n") * HOT_SHARE <= total).drop("n")
+    return classes.join(hot, "label").unionByName(
+        classes.join(hot.select("label"), "label", "left_anti").join(rest, "label"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS,
+                    part_keys: int = PART_KEYS, wide: int = WIDE) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id. ``block_chars``, ``part_keys`` and ``wide`` size the
+    exchange of shingles (see ``blocks``)."""
+    found = members(docs, id_col, text_col, block_chars=block_chars, part_keys=part_keys, wide=wide)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def by_copy(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

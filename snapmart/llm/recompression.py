@@ -26,8 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from snapmart.llm.blocks import (answer, ask, chained, joined, part_count, texts_of, to_blocks, with_answers,
-                                 word_hashes)
+from snapmart.llm.blocks import (BLOCK_CHARS, PART_KEYS, WIDE, chained, exchange, joined, part_count, texts_of,
+                                 to_blocks, with_answers, word_hashes)
 from snapmart.llm.common import id_type, sha256, stored
 
 WINDOW = 50
@@ -117,7 +117,7 @@ class Parsed:
         return one[first], two[first], ids[first], which
 
 
-def shared_symbols(blocks: DataFrame) -> DataFrame:
+def shared_symbols(blocks: DataFrame, part_keys: int = PART_KEYS, wide: int = WIDE) -> DataFrame:
     """For each block: whether each of its distinct names is in two or more documents of the corpus."""
     def asked(block: dict):
         keys, count, _ = Parsed(block).names()
@@ -127,10 +127,10 @@ def shared_symbols(blocks: DataFrame) -> DataFrame:
         _, inverse = np.unique(keys, return_inverse=True)
         return (np.bincount(inverse, columns[0])[inverse] > 1).astype(np.uint8)
 
-    return answer(ask(blocks, asked, part_count(blocks, 0.08)), answered, [np.uint8])
+    return exchange(blocks, asked, answered, [np.uint8], np.uint8, part_count(blocks, 0.08, part_keys), wide)
 
 
-def first_holders(blocks: DataFrame) -> DataFrame:
+def first_holders(blocks: DataFrame, part_keys: int = PART_KEYS, wide: int = WIDE) -> DataFrame:
     """For each block with its ``shared`` answers: the smallest id that holds each distinct candidate."""
     def asked(block: dict):
         parsed = Parsed(block)
@@ -146,19 +146,21 @@ def first_holders(blocks: DataFrame) -> DataFrame:
         out[order] = ids[order][new][np.cumsum(new) - 1]
         return out
 
-    return answer(ask(blocks, asked, part_count(blocks, 0.05), 2), answered, [np.uint64, np.int64])
+    return exchange(blocks, asked, answered, [np.uint64, np.int64], np.int64, part_count(blocks, 0.05, part_keys), wide)
 
 
 def removed_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    with_text: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256, and kept_text if ``with_text``."""
-    blocks = to_blocks(docs, id_col, text_col)
+                    with_text: bool = False, block_chars: int = BLOCK_CHARS, part_keys: int = PART_KEYS,
+                    wide: int = WIDE) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_sha256, and kept_text if ``with_text``.
+    ``block_chars``, ``part_keys`` and ``wide`` size the exchange of keys (see ``blocks``)."""
+    blocks = to_blocks(docs, id_col, text_col, block_chars)
     spark_type = id_type(docs, id_col)
     if spark_type not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError(f"ids must be integers, as the smaller one is kept: {spark_type}")
-    shared = stored(shared_symbols(blocks), "shared_symbols")
+    shared = stored(shared_symbols(blocks, part_keys, wide), "shared_symbols")
     known = with_answers(blocks, shared=shared)
-    holders = first_holders(known)
+    holders = first_holders(known, part_keys, wide)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

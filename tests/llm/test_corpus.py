@@ -38,6 +38,47 @@ def test_packing_round_trips_and_parts_cover_the_key_space():
     assert names.tolist() == list(range(13)) and cuts[0][0] == 0 and cuts[-1][1] == len(keys)
 
 
+def asked_rows(spark, n_blocks, parts, wide, seen):
+    """What an exchange answers, and the rows that its first shuffle carries."""
+    table = spark.range(n_blocks).toDF("block").repartition(5)
+
+    def asked(block):
+        rng = np.random.default_rng(block["block"])
+        keys = np.unique(rng.integers(0, 400, 60).astype(np.uint64) * np.uint64(2 ** 64 // 400))
+        return keys, [np.arange(len(keys), dtype=np.int64) + block["block"]]
+
+    def answered(keys, columns):
+        _, which = np.unique(keys, return_inverse=True)
+        return np.bincount(which, columns[0])[which].astype(np.int64)
+
+    whole = blocks.ask
+
+    def counted(*args):
+        out = whole(*args)
+        seen.append(out.count())
+        return out
+
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(blocks, "ask", counted)
+        found = blocks.exchange(table, asked, answered, [np.int64], np.int64, parts, wide)
+    got = {r.block: blocks.joined(r.a, np.int64).tolist() for r in blocks.with_answers(table, a=found).collect()}
+    total = Counter()
+    for b in range(n_blocks):
+        keys, (x,) = asked({"block": b})
+        total.update(dict(zip(keys.tolist(), [0] * len(keys))))
+        for k, v in zip(keys.tolist(), x.tolist()):
+            total[k] += v
+    assert got == {b: [total[k] for k in asked({"block": b})[0].tolist()] for b in range(n_blocks)}
+
+
+def test_an_exchange_over_many_parts_answers_alike_and_its_rows_grow_with_the_blocks(spark):
+    near, far = [], []
+    for n_blocks, parts in ((4, 8), (40, 80)):  # parts grow with the blocks, as in a growing corpus
+        asked_rows(spark, n_blocks, parts, 8, far)
+        asked_rows(spark, n_blocks, parts, 1000, near)
+    assert far[1] <= 10.5 * far[0] <= 10.5 * 4 * 8 and near[1] > 30 * near[0]
+
+
 # -- 4: Katz back-off -------------------------------------------------------------------------------
 
 def brute_katz(rows):
@@ -311,6 +352,8 @@ def brute_repeats(rows):
 def test_removed_repeats_match_brute_force(spark):
     assert by_row(recompression.removed_repeats(M.messy(spark))) == brute_repeats(M.pairs())
     assert recompression.removed_repeats(M.empty(spark)).count() == 0
+    small = recompression.removed_repeats(M.messy(spark), block_chars=4000, part_keys=300, wide=4)
+    assert by_row(small) == brute_repeats(M.pairs())
 
 
 def test_repeats_in_periodic_and_shifted_texts_are_all_found(spark):
@@ -369,6 +412,8 @@ def brute_components(rows):
 def test_components_match_brute_force(spark):
     assert by_row(ngram_join.near_duplicates(M.messy(spark))) == brute_components(M.pairs())
     assert ngram_join.near_duplicates(M.empty(spark)).count() == 0
+    small = ngram_join.near_duplicates(M.messy(spark), block_chars=4000, part_keys=300, wide=4)
+    assert by_row(small) == brute_components(M.pairs())
 
 
 def test_chains_of_copies_at_the_threshold_lose_no_link(spark):
