@@ -70,6 +70,37 @@ def q_stream_upsert(spark, root):
     return read_table(spark, table, U.PLAYERS.schema).drop("raw_json")
 
 
+_DAY_ROWS = f"""SELECT snapshot_date AS day, count(*) AS documents FROM (
+      SELECT DISTINCT snapshot_date, league_id, floor(player_id / {A.PAGE}.0) AS page FROM ({A.raw_players_sql()})
+    ) GROUP BY 1"""
+
+
+@register("load_days", f"""
+    WITH d AS ({_DAY_ROWS}),
+    r AS (SELECT day, documents, day(day) % 5 <> 0 AS once, day(day) % 7 = 0 AS again FROM d),
+    loads AS (
+      SELECT day, CAST(once AS BIGINT) + CAST(again AS BIGINT) AS loads,
+             CAST(documents * (CAST(once AS BIGINT) + CAST(again AS BIGINT)) AS BIGINT) AS documents FROM r),
+    period AS (
+      SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM d)
+    SELECT day, coalesce(loads, 0) AS loads, coalesce(documents, 0) AS documents,
+           CASE WHEN coalesce(loads, 0) = 0 THEN 'missing' ELSE 'repeated' END AS finding
+    FROM period LEFT JOIN loads USING (day) WHERE coalesce(loads, 0) <> 1""")
+def q_load_days(spark, root):
+    """The players feed without every fifth day of a month, and then every seventh day (again): the days that a
+    table never loaded or loaded twice, from the records of its commits."""
+    t = A.Tables(spark, root)
+    landing, table, ckpt = (scratch_path(spark, x) for x in ("landing", "raw_players", "ingest-checkpoint"))
+    docs = A.players_feed(t).drop("page").persist()
+    day = F.dayofmonth("request_date")
+    for some in (day % 5 != 0, day % 7 == 0):
+        L.land(docs.where(some), landing, "players")
+        stream_upsert(spark, landing, "players", table, U.PLAYERS, L.flatten_players, ckpt, load_ts=A.T1)
+    first, last = docs.agg(F.min("request_date"), F.max("request_date")).first()
+    docs.unpersist()
+    return U.load_gaps(U.load_record(spark, table), first, last)
+
+
 @register("sql_views", Q.ctes(RS, RP, STG_S, STG_P, LABELS, DIM, body=Q.fact_player_stats_sql("stg_p", "dim")))
 def q_sql_views(spark, root):
     """The models registered as Spark SQL views and read with a plain SELECT (the analyst path)."""

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from snapmart.sources import commits
 from snapmart.sources.files import file_system as _fs
-from snapmart.sources.files import literal, path_exists
+from snapmart.sources.files import listed, literal, path_exists
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType,
@@ -62,11 +62,19 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 # versioned tables: a rebuild never exposes a half-written table
 # ------------------------------------------------------------------------------------------------
 # A full rebuild writes a new version directory under <path>/_versions/. Spark's job commit writes
-# _SUCCESS into it last, so a version is complete exactly when _SUCCESS exists. Readers take the
-# version committed last, so a rebuild of an older run is read once it is published; a job that dies
-# mid-write leaves the previous version in place. Names (build time, unique suffix) only break ties.
+# _SUCCESS into it last; then an empty file <path>/_versions/_order/<number>-<version> publishes it. Readers take
+# the version published last, so a rebuild of an older run is read once it is published, and a copy of the table
+# keeps its order whatever happens to file times; a job that dies before leaves the previous version in place.
+# Versions from before such files existed come first, by the time of their _SUCCESS.
 
 VERSIONS_DIR = "_versions"
+ORDER_DIR = "_order"
+
+
+def _published(spark: SparkSession, path: str) -> dict[str, int]:
+    """The versions with an order file, and their numbers."""
+    names = listed(spark, f"{path}/{VERSIONS_DIR}/{ORDER_DIR}")
+    return {name.split("-", 1)[1]: int(name.split("-", 1)[0]) for name in names}
 
 
 def complete_versions(spark: SparkSession, path: str) -> list[str]:
@@ -75,12 +83,13 @@ def complete_versions(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(root):
         return []
     jvm = spark.sparkContext._jvm
-    found = []
+    numbers, found = _published(spark, path), []
     for st in fs.listStatus(root):
+        name = st.getPath().getName()
         done = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-        if st.isDirectory() and fs.exists(done):
-            found.append((fs.getFileStatus(done).getModificationTime(), st.getPath().getName()))
-    return [name for _, name in sorted(found)]
+        if name != ORDER_DIR and st.isDirectory() and fs.exists(done):
+            found.append((numbers.get(name, 0), fs.getFileStatus(done).getModificationTime(), name))
+    return [name for *_, name in sorted(found)]
 
 
 def publish_version(df: DataFrame, path: str, version: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -90,7 +99,11 @@ def publish_version(df: DataFrame, path: str, version: str, partition_by: Sequen
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(literal(target)).select(*df.columns)
+    spark = df.sparkSession
+    number = 1 + max(_published(spark, path).values(), default=0)
+    order, fs = _fs(spark, f"{path}/{VERSIONS_DIR}/{ORDER_DIR}/{number:09d}-{version}")
+    fs.create(order, False).close()
+    return spark.read.schema(df.schema).parquet(literal(target)).select(*df.columns)
 
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -105,7 +118,10 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
     """Delete all but the newest ``keep`` committed versions; returns how many were removed."""
     versions = complete_versions(spark, path)
     old = versions[:-keep] if keep else versions
+    numbers = _published(spark, path)
     for v in old:
         p, fs = _fs(spark, f"{path}/{VERSIONS_DIR}/{v}")
         fs.delete(p, True)
+        if v in numbers:
+            fs.delete(_fs(spark, f"{path}/{VERSIONS_DIR}/{ORDER_DIR}/{numbers[v]:09d}-{v}")[0], False)
     return len(old)

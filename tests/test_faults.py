@@ -309,3 +309,17 @@ def test_a_rebuild_of_an_older_run_is_the_one_read(spark, tmp_dir):
     R.publish_version(df, f"{tmp_dir}/m", "v20240802")
     R.publish_version(df.where("id > 0"), f"{tmp_dir}/m", "v20240801")
     assert R.read_latest(spark, f"{tmp_dir}/m", df.schema).count() == 2
+
+
+def test_the_published_order_does_not_hang_on_file_times(spark, tmp_dir):
+    df = spark.range(3)
+    for n, v in enumerate(("b", "a", "c")):
+        R.publish_version(df.where(f"id >= {n}"), f"{tmp_dir}/m", v)
+    old = dt.datetime.now().timestamp() - 86400
+    os.utime(f"{tmp_dir}/m/_versions/c/_SUCCESS", (old, old))
+    os.makedirs(f"{tmp_dir}/m/_versions/dead")
+    assert R.complete_versions(spark, f"{tmp_dir}/m") == ["b", "a", "c"]
+    assert R.read_latest(spark, f"{tmp_dir}/m", df.schema).count() == 1
+    assert R.drop_old_versions(spark, f"{tmp_dir}/m", keep=1) == 2
+    R.publish_version(df, f"{tmp_dir}/m", "a")
+    assert R.complete_versions(spark, f"{tmp_dir}/m") == ["c", "a"]
