@@ -84,7 +84,7 @@ FACT_PLAYER_STATS_COLUMNS = [
 ]
 
 CHECK_REPORT = _schema(
-    ("model", S), ("column", S), ("check", S), ("failures", L), ("passed", T.BooleanType()),
+    ("model", S), ("column", S), ("check", S), ("failures", L), ("failing_rows", L), ("passed", T.BooleanType()),
 )
 
 
