@@ -501,3 +501,60 @@ def test_pipeline_stages_are_the_operators_in_order(spark, tmp_dir):
     for r in out:
         length[r.doc_id] += r.length
     assert length == Counter({i: len(ids_of(t)) // 4 for i, t in rows if i in stay})
+
+
+def test_pipeline_on_nulls_repeats_and_personal_data(spark, tmp_dir):
+    """The messy table as it is: null and repeated ids, null and empty texts, repeated rows, clashing columns."""
+    import corpus_pipeline as C
+    from snapmart.llm import compression, pii
+
+    rng = random.Random(4)
+    private = [(900 + i, f"{M.prose(rng, 80)} ask ann{i}@mail.example.org or 10.20.30.{i} {M.prose(rng, 40)}") for i in range(6)]
+    private += [private[0], (None, private[1][1])]
+    more = spark.createDataFrame(private, "doc_id long, text string")
+    M.messy(spark).unionByName(more, allowMissingColumns=True).write.parquet(f"{tmp_dir}/documents.parquet")
+    rows = M.pairs() + private
+    rows = [x for x, m in zip(rows, compression.measure(t for _, t in rows)) if m[6]]
+
+    def order(i):
+        return (i is not None, i or 0)
+
+    kept: dict = {}
+    for i, t in rows:  # exact: the largest id of a text
+        if M.lower(t) not in kept or order(i) > order(kept[M.lower(t)][0]):
+            kept[M.lower(t)] = (i, t)
+    rows = list(kept.values())
+    sets = []
+    for _, t in rows:
+        ws = M.lower(t).encode().split()
+        sets.append({tuple(ws[k:k + 5]) for k in range(max(1, len(ws) - 4))} if ws else set())
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) > 0 and group[a] != group[b]:
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    components: dict = {}
+    for at, g in enumerate(group):
+        components.setdefault(g, []).append(rows[at])
+    stays = [min(some, key=lambda r: (r[0] is None, r[0] or 0)) for some in components.values()]
+    out = C.run(spark, tmp_dir).collect()
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids_of = packing.TokenIds(path, public_tokenizers.PATTERN)
+    want, got = Counter(), Counter()
+    for i, t in stays:
+        want[i] += len(ids_of(pii.replaced(t, pii.base_spans(t)))) // 4
+    for r in out:
+        got[r.doc_id] += r.length
+    assert got == want and sum(bool(pii.base_spans(t)) for _, t in stays) >= 6
+    used = Counter()
+    for r in out:
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= packing.CAPACITY
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_dir):
+    import corpus_pipeline as C
+
+    M.empty(spark).write.parquet(f"{tmp_dir}/documents.parquet")
+    assert C.run(spark, tmp_dir).collect() == []
