@@ -319,31 +319,34 @@ def ascending(data: bytes) -> np.ndarray:
 
 # -- counts --------------------------------------------------------------------------------------
 
-def tree(rows: DataFrame, merge: Callable, schema: str, slices: int, fan: int) -> DataFrame:
-    """Merge the rows of each part, ``fan`` slices at a time, until one row a part is left."""
-    while slices > 1:
+def tree(rows: DataFrame, merge: Callable, schema: str, slices: int, fan: int, left: int = 1) -> DataFrame:
+    """Merge the rows of each part, ``fan`` slices at a time, until at most ``left`` rows a part are left."""
+    while slices > left:
         slices = -(-slices // fan)
         rows = rows.withColumn("slice", F.floor(F.col("slice") / fan)).groupBy("part", "slice").applyInPandas(merge, schema)
     return rows
 
 
 def hash_tables(pairs: DataFrame, slices: int, fan: int) -> DataFrame:
-    """(part, sizes, bits, keys): a minimal perfect hash of each part's distinct pairs."""
+    """(part, sizes, bits, keys): a minimal perfect hash of each part's distinct pairs. The last merge builds it: a
+    step of its own would follow in the same tasks, and every task would hold two Python workers from then on."""
+    def distinct(group: pd.DataFrame) -> np.ndarray:
+        return np.unique(np.concatenate([ascending(x) for x in group["keys"]]))
+
     def union(group: pd.DataFrame) -> pd.DataFrame:
-        keys = np.unique(np.concatenate([ascending(x) for x in group["keys"]]))
+        keys = distinct(group)
         return pd.DataFrame({"part": group["part"][:1], "slice": group["slice"][:1],
                              "keys": [pack(np.diff(keys, prepend=keys[:1] * 0))]})
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in rows_of(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["part"]], pa.int64()),
-                 *(pa.array([x], pa.binary()) for x in PerfectHash.build(ascending(row["keys"])).row())],
-                ["part", "sizes", "bits", "keys"])
+    def build(group: pd.DataFrame) -> pd.DataFrame:
+        sizes, bits, keys = PerfectHash.build(distinct(group)).row()
+        return pd.DataFrame({"part": group["part"][:1], "sizes": [sizes], "bits": [bits], "keys": [keys]})
 
-    schema = "part bigint, slice bigint, keys binary"
-    first = pairs.select("part", "slice", "keys").groupBy("part", "slice").applyInPandas(union, schema)
-    return stored(tree(first, union, schema, slices, fan).select("part", "keys").mapInArrow(
+    rows = pairs.select("part", "slice", "keys")
+    if slices > 1:
+        schema = "part bigint, slice bigint, keys binary"
+        rows = tree(rows.groupBy("part", "slice").applyInPandas(union, schema), union, schema, slices, fan, fan)
+    return stored(rows.groupBy("part").applyInPandas(
         build, "part bigint, sizes binary, bits binary, keys binary"), "pair_hash")
 
 

@@ -203,6 +203,20 @@ def test_alignment_matches_both_libraries_on_the_messy_table(spark, sizes):
     assert alignment.aligned(M.empty(spark), alignment_files(), **sizes).count() == 0
 
 
+@pytest.mark.parametrize("group", [1024, 1])
+def test_no_task_needs_two_python_workers(spark, monkeypatch, group):
+    seen = []
+    monkeypatch.setattr(alignment, "stored", lambda df, name, put=alignment.stored: seen.append((name, df)) or put(df, name))
+    docs = spark.range(12).selectExpr("id AS doc_id", "concat('words of text ', id) AS text")
+    seen.append(("aligned", alignment.aligned(docs, alignment_files(), block_bytes=20, group=group, fan=2)))
+    assert len(seen) == 5
+    for name, df in seen:
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        for stage in plan.split("Exchange "):  # a line a step; what runs in one task stands between exchanges
+            steps = [x for x in stage.splitlines() if "MapInArrow" in x or "GroupsInPandas" in x]
+            assert len(steps) <= 1, (name, plan)
+
+
 def test_perfect_hash_is_minimal_and_verifies_keys():
     rng = np.random.default_rng(5)
     keys = np.unique(rng.integers(0, 2 ** 40, 20_000).astype(np.uint64))
