@@ -16,6 +16,11 @@ partial aggregate, so a hot key is pre-reduced on the map side), then full-outer
 target on the keys. Each side is scanned once. NULL-key rows carry a value of their own beside the key,
 so they are spread over all tasks and never meet.
 
+Where the rows of a key are few and far apart, a task meets hardly two of them. Its partial aggregates are then as
+many as its rows and several times as wide, as each holds the row's place in the order six times, and the task has
+sorted its rows to find that out. ``scattered`` batches send their rows as they are and are folded where the rows of a
+key have met; keys of so many rows that one task should not get them all are counted first and keep the other way.
+
 The fold needs an order without ties: rows that share the first or the last place of their key would make
 the result depend on chance, so such a batch is refused (``TIED``). The check is part of the same aggregate.
 
@@ -43,6 +48,8 @@ from snapmart.sources.files import literal, partition_dir
 LOAD_COL = "_loaded_at"
 SPREAD = "_spread"
 TIED = "the batch order has a tie: rows of one key share the first or the last place"
+#: Rows of a key from which a scattered batch folds them before they are sent.
+HOT_ROWS = 100_000
 #: Rows of a partition that one task writes.
 PIECE_ROWS = 1_000_000
 #: Commits of a table that stay readable after newer ones.
@@ -126,12 +133,30 @@ def fold_batch(batch: DataFrame, spec: UpsertSpec, cols: list[str], seq: str | C
 
 
 def upsert_df(target: DataFrame, batch: DataFrame, spec: UpsertSpec, load_ts: dt.datetime,
-              seq: str | Column = "_seq") -> DataFrame:
+              seq: str | Column = "_seq", scattered: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The table after applying ``batch`` to ``target`` (pure: nothing is written).
 
     ``target`` columns define the output (any subset of the spec's columns that includes the keys
     and ``_loaded_at``); ``batch`` must carry the same columns except ``_loaded_at``, plus ``seq``.
+
+    A ``scattered`` batch has few rows a key, far apart. Its keys are counted at once, in a job that reads only them;
+    the keys of more than ``hot_rows`` rows reach the driver. The result is the same for every batch.
     """
+    keys = list(spec.keys)
+    b = batch.select(*[c for c in target.columns if c != LOAD_COL], _seq_col(seq).alias("_seq"))
+    if not scattered:
+        return _merged(target, b, spec, load_ts, False)
+    rows = b.select(*keys).where(all_not_null(*keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    found = rows.where(F.col("_n") > hot_rows).select(*keys)
+    hot = found.collect()
+    if not hot:
+        return _merged(target, b, spec, load_ts, True)
+    hot = F.broadcast(b.sparkSession.createDataFrame(hot, found.schema))
+    rest, few = ([df.join(hot, keys, how) for df in (target, b)] for how in ("left_anti", "left_semi"))
+    return _merged(*rest, spec, load_ts, True).unionByName(_merged(*few, spec, load_ts, False))
+
+
+def _merged(target: DataFrame, batch: DataFrame, spec: UpsertSpec, load_ts: dt.datetime, scattered: bool) -> DataFrame:
     cols = [c for c in target.columns]
     keys = list(spec.keys)
     data_cols = [c for c in cols if c != LOAD_COL]
@@ -143,7 +168,9 @@ def upsert_df(target: DataFrame, batch: DataFrame, spec: UpsertSpec, load_ts: dt
     # NULL-key rows never match. They stay in the same pass, spread by a value of their own: they neither
     # merge in the fold nor meet in one task.
     spread = F.when(has_key, F.lit(0)).otherwise(F.monotonically_increasing_id() + 1).alias(SPREAD)
-    b = batch.select(*data_cols, _seq_col(seq).alias("_seq"), spread)
+    b = batch.select("*", spread)
+    if scattered:
+        b = b.repartition(*keys, SPREAD)
     folded = fold_batch(b, spec, data_cols, "_seq", [SPREAD])
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols if c not in keys],
                       F.lit(True).alias("_in_t"), spread)

@@ -168,7 +168,7 @@ _FIX_T0 = FIX_COLS + ["_loaded_at"]
 def q_upsert_batch_dups(spark, root):
     """New keys take insert-only columns from their first line and update columns from the last."""
     t = A.Tables(spark, root)
-    return U.upsert_df(A.dups_target(t), A.fixture_lines_batch(t), U.FIXTURES, A.T1)
+    return U.upsert_df(A.dups_target(t), A.fixture_lines_batch(t), U.FIXTURES, A.T1, scattered=True)
 
 
 @register("upsert_fixtures_table", _FIX_UPSERT_SQL)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from snapmart.operators import upsert as U
 from snapmart.operators.keyindex import KeyIndex
+from snapmart.plans.queries_upsert import q_upsert_batch_dups
 from snapmart.sources import commits
 from snapmart.sources.rawstore import path_exists, read_table
 
@@ -151,6 +152,35 @@ def test_upsert_plan_shuffles_target_once_and_batch_once(spark):
     assert plan.count("Exchange hashpartitioning") <= 2, plan
 
 
+@pytest.mark.parametrize("hot_rows", [100, 3])
+def test_a_scattered_batch_gives_the_same_and_sends_its_rows_as_they_are(spark, hot_rows):
+    rows = [(None if i % 17 == 0 else i % 23 if i % 3 else 5, i % 2, i, i * 7 if i % 4 else None, str(i)) for i in range(300)]
+    target = target_df(spark, [(5, 1, -1, -1, "old", T0), (5, 0, -2, -2, "old", T0), (99, 1, 0, 0, "kept", T0), (None, 1, 3, 3, "n", T0)])
+    out = U.upsert_df(target, batch_df(spark, rows), SPEC, T1, scattered=True, hot_rows=hot_rows)
+    want = merge_loop([tuple(r) for r in target.collect()], rows, T1)
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == want
+    tied = batch_df(spark, rows).withColumn("_seq", F.when(F.col("_seq") == 299, 298).otherwise(F.col("_seq")))
+    tied = tied.withColumn("k1", F.when(F.col("_seq") == 298, 1000).otherwise(F.col("k1"))).withColumn("k2", F.lit(0).cast("bigint"))
+    with pytest.raises(Exception, match="the batch order has a tie"):
+        U.upsert_df(target, tied, SPEC, T1, scattered=True, hot_rows=hot_rows).collect()
+
+
+def test_lines_of_a_fixture_are_folded_where_they_meet(spark, tmp_dir):
+    spark.range(40).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus",
+                               "TIMESTAMP'1995-06-01 00:00:00' + make_interval(0, 0, 0, CAST(id * 30 AS INT)) AS o_orderdate") \
+        .write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.range(160).selectExpr(
+        "id % 40 AS l_orderkey", "id % 11 AS l_partkey", "id % 5 AS l_suppkey", "CAST(id DIV 40 + 1 AS INT) AS l_linenumber",
+        "1D AS l_quantity", "2D AS l_extendedprice", "0D AS l_discount", "0D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus",
+        "TIMESTAMP'1996-01-01 00:00:00' AS l_shipdate").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    out = q_upsert_batch_dups(spark, tmp_dir)
+    rows = {r.fixture_id: r for r in out.collect()}
+    assert len(rows) == 40 and {r.home_goals for r in rows.values()} == {4}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    sent = plan[plan.index("REPARTITION_BY_COL"):]
+    assert "Union" in sent and "Aggregate" not in sent  # no partial aggregates, several times as wide as the rows
+
+
 def test_hot_key_holding_a_third_of_the_batch(spark):
     """One key with a third of 60k batch rows: folded exactly, pre-aggregated before the shuffle."""
     n = 60000
